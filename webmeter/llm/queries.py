@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import bpe, quality, toxicity
 from .text import crc32_mod
 
 
@@ -31,9 +31,22 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(f"{crc32_mod('doc_id', 5)} = 0").alias("held_out"), "score", quality.predicted(F.col("score"), 0.3).alias("predicted"))
 
 
+def _rank_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Every text encoded and decoded again, as digests; ``path``: the rank file."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return bpe.encode(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op7_bpe": op7_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
