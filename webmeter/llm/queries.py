@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, toxicity
+from . import bpe, quality, secret_scan, toxicity
 from .text import crc32_mod
 
 
@@ -43,10 +43,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return bpe.encode(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Secrets of every text: base patterns and the token-efficiency test; ``path``: the rank file."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return secret_scan.scan(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_assign", "n_access", "n_hex", "n_dense", "base_sha256", "spans"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op7_bpe": op7_bpe,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
