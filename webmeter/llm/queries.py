@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secret_scan, toxicity
+from . import bpe, decontaminate, quality, secret_scan, toxicity
 from .text import crc32_mod
 
 
@@ -31,6 +31,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(f"{crc32_mod('doc_id', 5)} = 0").alias("held_out"), "score", quality.predicted(F.col("score"), 0.3).alias("predicted"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the item, the place and the similarity."""
+    return decontaminate.find(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def _rank_path() -> str:
     import public_tokenizers
 
@@ -52,6 +57,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str, path: str | None = None) -> D
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op5_decontaminate": op5_decontaminate,
     "op7_bpe": op7_bpe,
     "op10_secrets": op10_secrets,
 }
