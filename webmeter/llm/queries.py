@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, secret_scan, toxicity
+from . import bpe, decontaminate, jaccard, quality, secret_scan, toxicity
 from .text import crc32_mod
 
 
@@ -48,6 +48,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return bpe.encode(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links (five-word shingles, similarity 0.8 or more) of every document."""
+    return jaccard.near_copies(_documents(spark, sf_dir))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Secrets of every text: base patterns and the token-efficiency test; ``path``: the rank file."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_decontaminate": op5_decontaminate,
     "op7_bpe": op7_bpe,
+    "op9_jaccard": op9_jaccard,
     "op10_secrets": op10_secrets,
 }
 
