@@ -29,6 +29,7 @@ from . import text as T
 BITS = 18
 #: At most about so many labelled rows are learned from (a classifier may be fitted on a bounded sample).
 MAX_LABELLED = 16_000
+#: Tasks that learn; the vectors they send are sparse (L1) and summed before they reach the driver.
 SHARDS = 4
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 0.02, 0.5
@@ -132,13 +133,17 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
         if rows:
             by = sorted(range(len(rows)), key=order.__getitem__)
             w = ftrl([rows[i] for i in by], np.array([labels[i] for i in by], float))
-            yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), "vector": pa.array([w.vector.tobytes()], pa.binary()), "bias": [w.bias]})
+            used = np.flatnonzero(w.vector)
+            values = np.append(w.vector[used], w.bias) * len(rows)
+            yield pa.RecordBatch.from_pydict({"slot": pa.array(np.append(used, 1 << BITS).astype(np.int32)), "weighed": pa.array(values.astype(float)), "n": pa.array([0] * len(used) + [len(rows)], pa.int64())})
 
     T.scan_conf(labelled.sparkSession)
-    got = usable.repartition(shards, F.col("_order")).mapInArrow(learn, "n long, vector binary, bias double").collect()
-    share = np.array([r.n for r in got], float)
-    share /= share.sum()
-    return Weights(sum(s * np.frombuffer(r.vector, np.float32) for s, r in zip(share, got, strict=True)).astype(np.float32), float(sum(s * r.bias for s, r in zip(share, got, strict=True))))
+    shard = F.pmod(F.col("_order"), F.lit(shards))
+    sparse = usable.repartition(shards, shard).mapInArrow(learn, "slot int, weighed double, n long")
+    got = sparse.groupBy("slot").agg(F.sum("weighed").alias("weighed"), F.sum("n").alias("n")).toArrow()
+    dense = np.zeros((1 << BITS) + 1)
+    dense[got["slot"].to_numpy()] = got["weighed"].to_numpy() / max(1, int(np.sum(got["n"].to_numpy())))
+    return Weights(dense[:-1].astype(np.float32), float(dense[-1]))
 
 
 def score(docs: DataFrame, weights: Weights, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
