@@ -148,7 +148,7 @@ def crc32_mod(column: str, m: int) -> str:
     return f"coalesce(pmod(crc32(cast(cast({column} as string) as binary)), {m}), 0)"
 
 
-def scan_conf(spark, records: int = 2000) -> None:
+def scan_conf(spark, records: int = 256) -> None:
     """Arrow batches small enough that long documents fit a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
 

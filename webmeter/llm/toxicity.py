@@ -36,6 +36,8 @@ DISCOUNT = 0.7
 MAX_TOXIC, MAX_ORDINARY = 6000, 12_000
 #: One row in so many is kept from the models, for the curve.
 HELD = 4
+#: Bytes of text at once: every letter takes some dozen words of memory.
+STEP = 1 << 16
 U = np.uint64
 
 
@@ -217,7 +219,7 @@ def score_chunk(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
 def count_sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct tagged sequences of all texts of a column and their counts."""
     keys, n = [np.empty(0, U)], [np.empty(0, np.int64)]
-    for c in T.chunks(column):
+    for c in T.chunks(column, STEP):
         key, length, _, _ = letters(c.data, c.offsets)
         u, m = np.unique(_tag(key, length), return_counts=True)
         keys.append(u)
@@ -255,7 +257,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.concatenate([evidence(c.data, c.offsets, *shared.value) for c in T.chunks(b.column(0))]) if b.num_rows else np.zeros((0, 2))
+            x = np.concatenate([evidence(c.data, c.offsets, *shared.value) for c in T.chunks(b.column(0), STEP)]) if b.num_rows else np.zeros((0, 2))
             yield pa.RecordBatch.from_pydict({"y": b.column(1), "a": x[:, 0], "b": x[:, 1]})
 
     held = usable.where("_held").select("_text", "_label").mapInArrow(measure, "y int, a double, b double").toArrow()
@@ -276,7 +278,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            p = [score_chunk(c.data, c.offsets, m) for c in T.chunks(b.column(names.index(text)))]
+            p = [score_chunk(c.data, c.offsets, m) for c in T.chunks(b.column(names.index(text)), STEP)]
             yield pa.RecordBatch.from_arrays([*(b.column(names.index(c)) for c in kept), pa.array(np.concatenate(p) if p else np.empty(0))], [*kept, out])
 
     T.scan_conf(spark)
