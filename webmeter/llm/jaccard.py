@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -158,27 +158,26 @@ def verify(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "links": links @ n.astype(np.int64), "root": node[forest(links)]})
 
 
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees: int = TREES, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: key, class_id, copy_id, n_links.
+def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int = BLOCK) -> DataFrame:
+    """One row per distinct shingle set: k1, k2, class_id, copy_id, n_links, first.
 
-    ``copy_id`` is the least id among rows with an equal shingle set, ``class_id``
-    the least id that verified links lead to, ``n_links`` the number of other
-    rows with similarity 0.8 or more, copies included.
+    ``first`` marks the set that holds the first row of its class (least id,
+    a null id last).
     """
     spark = docs.sparkSession
-    signed = T.written(spark, sign(docs, key, text, trees, matched_depth(trees)))
     # candidate components
     bands = signed.where("k1 is not null").select(F.col("k1").alias("node"), F.explode("nodes").alias("band"))
     many = bands.groupBy("band").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x").select("band", "m")
     member = components(bands.join(many, "band").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v")).distinct())
     member = T.written(spark, member)
     sizes = member.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    copies = signed.where("k1 is not null").groupBy("k1", "k2").agg(F.min("_id").alias("copy_id"), F.count(F.lit(1)).alias("n"))
+    copies = T.written(spark, signed.where("k1 is not null").groupBy("k1", "k2").agg(F.min("_id").alias("copy_id"), F.count(F.lit(1)).alias("n")))
     placed = member.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     wanted = T.written(spark, copies.join(placed, F.col("k1") == F.col("node")).select("node", "root", "blocks", "block", "n", "copy_id"))
-    # the texts of the candidates, one row per class: by the id of its first copy (by a null id where there is no other)
-    own = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    held = own.join(wanted, own["_id"].eqNullSafe(wanted["copy_id"])).select("node", "root", "blocks", "block", "n", "_text")
+    # the texts of the candidates, one row per set: by the id of its first copy
+    own = docs.select(F.coalesce(F.col(key), F.lit(0)).alias("_i"), F.col(key).isNull().alias("_none"), F.col(text).alias("_text"))
+    sought = wanted.select("node", "root", "blocks", "block", "n", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"))
+    held = own.join(sought, ["_i", "_none"]).select("node", "root", "blocks", "block", "n", "_text")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,13 +194,56 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     pairs = loaded.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "set")
     checked = T.written(spark, pairs.groupBy("root", "lo", "hi").applyInArrow(lambda t: verify(t), "node long, links long, root long"))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    if placed.where("blocks > 1").limit(1).count():
+    if wanted.where("blocks > 1").limit(1).count():
         grouped = components(checked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     else:
         grouped = checked.where("node <> root").select("node", "root")
     named = links.join(grouped, "node", "left").select(F.col("node").alias("k1"), "links", F.coalesce("root", "node").alias("root"))
     known = copies.join(named, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    least = known.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    classes = known.join(least, "root").select("k1", "k2", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    out = signed.select("_id", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    order = F.struct(F.col("copy_id").isNull().alias("none"), F.col("copy_id").alias("id"), "k1", "k2")
+    least = known.groupBy("root").agg(F.min("copy_id").alias("class_id"), F.min(order).alias("head"))
+    mine = (F.col("head.k1") == F.col("k1")) & (F.col("head.k2") == F.col("k2"))
+    return known.join(least, "root").select("k1", "k2", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), mine.alias("first"))
+
+
+def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees: int = TREES, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs``: key, class_id, copy_id, n_links.
+
+    ``copy_id`` is the least id among rows with an equal shingle set, ``class_id``
+    the least id that verified links lead to, ``n_links`` the number of other
+    rows with similarity 0.8 or more, copies included.
+    """
+    signed = T.written(docs.sparkSession, sign(docs, key, text, trees, matched_depth(trees)))
+    own = classes(docs, signed, key, text, block)
+    out = signed.select("_id", "k1", "k2").join(own, ["k1", "k2"], "left")
     return out.select(F.col("_id").alias(key), F.coalesce("class_id", "_id").alias("class_id"), F.coalesce("copy_id", "_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", trees: int = TREES, block: int = BLOCK) -> DataFrame:
+    """``docs`` with one row of each class: that of the least id (null last; of equal rows any one).
+
+    Rows without words all stay.
+    """
+    spark, names = docs.sparkSession, docs.columns
+    signed = T.written(spark, sign(docs, key, text, trees, matched_depth(trees)))
+    heads = classes(docs, signed, key, text, block).where("first").select("k1", "k2", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"), F.lit(True).alias("_head"))
+    schema = docs.select(F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2"), F.struct(*(docs[c] for c in names)).alias("_row")).schema
+    place = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k1, k2, some = [], [], []
+            for c in T.chunks(b.column(place)):
+                sets, many = shingle_sets(c.data, c.offsets)
+                a, z = identities(sets, many)
+                k1.append(a)
+                k2.append(z)
+                some.append(many > 0)
+            if some:
+                none = ~np.concatenate(some)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k1), mask=none), pa.array(np.concatenate(k2), mask=none), pa.StructArray.from_arrays(b.columns, names)], schema.names)
+
+    at = ["k1", "k2", "_i", "_none"]
+    rows = docs.mapInArrow(run, schema).select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.coalesce(F.col(f"_row.{key}"), F.lit(0)).alias("_i"), F.col(f"_row.{key}").isNull().alias("_none"), "_row")
+    ranked = rows.join(heads, at, "left").where("k1 is null or _head").withColumn("_n", F.row_number().over(Window.partitionBy(*at).orderBy("k1")))
+    return ranked.where("k1 is null or _n = 1").select("_row.*")
