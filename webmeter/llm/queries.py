@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, quality, secret_scan, toxicity
+from . import bpe, decontaminate, jaccard, maxent, quality, secret_scan, toxicity
 from .text import crc32_mod
 
 
@@ -15,18 +15,25 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; those with crc32(doc_id) mod 10 = 0 are held out."""
+    return maxent.score(_documents(spark, sf_dir), F.expr(f"{crc32_mod('doc_id', 10)} <> 0"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the rows with crc32(doc_id) mod 3 = 1 are held out."""
-    model = toxicity.fit(quality.labelled_rows(spark, sf_dir, f"{crc32_mod('doc_id', 3)} <> 1"))
     docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"{crc32_mod('doc_id', 3)} <> 1")
+    model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", F.expr(f"{crc32_mod('doc_id', 3)} = 1").alias("held_out"), "score", quality.predicted(F.col("score"), 0.7).alias("predicted"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels of the rows with crc32(doc_id) mod 5 = 0 are held out."""
-    model = quality.fit(quality.labelled_rows(spark, sf_dir, f"{crc32_mod('doc_id', 5)} <> 0"))
     docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"{crc32_mod('doc_id', 5)} <> 0")
+    model = quality.fit(docs, labels)
     scored = quality.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", F.expr(f"{crc32_mod('doc_id', 5)} = 0").alias("held_out"), "score", quality.predicted(F.col("score"), 0.3).alias("predicted"))
 
@@ -36,7 +43,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def _rank_path() -> str:
+def rank_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,7 +52,7 @@ def _rank_path() -> str:
 def op7_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Every text encoded and decoded again, as digests; ``path``: the rank file."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    return bpe.encode(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
+    return bpe.encode(docs, bpe.rank_file(spark, path or rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +63,11 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Secrets of every text: base patterns and the token-efficiency test; ``path``: the rank file."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    return secret_scan.scan(docs, bpe.rank_file(spark, path or _rank_path()), outputs=("n_assign", "n_access", "n_hex", "n_dense", "base_sha256", "spans"), keep=["doc_id"])
+    return secret_scan.scan(docs, bpe.rank_file(spark, path or rank_path()), outputs=("n_assign", "n_access", "n_hex", "n_dense", "base_sha256", "spans"), keep=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_decontaminate": op5_decontaminate,
