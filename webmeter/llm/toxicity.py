@@ -29,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .quality import sample
+from .tables import Table, table
 
 ORDER = 6
-DISCOUNT = 0.7
+DISCOUNT = 0.95
 #: At most about so many labelled rows of each label are learned from.
 MAX_TOXIC, MAX_ORDINARY = 6000, 12_000
 #: One row in so many is kept from the models, for the curve.
@@ -41,49 +43,6 @@ STEP = 1 << 16
 U = np.uint64
 
 
-class Table(NamedTuple):
-    """Open addressing: keys (0 is free) and values; size is a power of two."""
-
-    keys: np.ndarray
-    values: np.ndarray
-    probes: int
-
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """The stored values, NaN where there is none."""
-        mask = len(self.keys) - 1
-        slot = (T.mix(wanted) & U(mask)).astype(np.int64)
-        got = self.keys[slot]
-        out = np.where(got == wanted, self.values[slot], np.float32(np.nan))
-        left = np.flatnonzero((got != wanted) & (got != 0))
-        for _ in range(self.probes):
-            if not len(left):
-                break
-            slot[left] = (slot[left] + 1) & mask
-            got = self.keys[slot[left]]
-            same = got == wanted[left]
-            out[left[same]] = self.values[slot[left[same]]]
-            left = left[~same & (got != 0)]
-        return out
-
-
-def table(keys: np.ndarray, values: np.ndarray) -> Table:
-    size = 1 << max(4, int(4 * len(keys) - 1).bit_length())
-    k, v = np.zeros(size, U), np.zeros(size, np.float32)
-    slot = (T.mix(keys) & U(size - 1)).astype(np.int64)
-    left, probes = np.arange(len(keys)), 0
-    while len(left):
-        free = left[k[slot[left]] == 0]
-        _, one = np.unique(slot[free], return_index=True)
-        put = free[one]
-        k[slot[put]], v[slot[put]] = keys[put], values[put]
-        done = np.zeros(len(keys), bool)
-        done[put] = True
-        left = left[~done[left]]
-        slot[left] = (slot[left] + 1) & (size - 1)
-        probes += 1
-    return Table(k, v, probes + 1)
-
-
 class Model(NamedTuple):
     grams: Table
     histories: Table
@@ -228,17 +187,14 @@ def count_sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return u, np.bincount(where, np.concatenate(n), len(u)).astype(np.int64), u >> U(56)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
     """Fit on a bounded sample: about ``max_toxic`` and ``max_ordinary`` rows, those with the smallest hashes."""
-    spark = labelled.sparkSession
-    usable = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("_text"), F.col(label).cast("int").alias("_label"), F.xxhash64(F.col(key), F.lit("toxic")).alias("_order"))
-    sizes = {r["_label"]: r["n"] for r in usable.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spark = docs.sparkSession
+    chosen, sizes = sample(labels, label, key, {1: max_toxic, 0: max_ordinary})
     if len(sizes) < 2:
         none = table(np.empty(0, U), np.empty(0, np.float32))
         return Model(none, none, np.zeros(3), float(1 in sizes))
-    share = {k: min(1.0, most / sizes[k]) for k, most in ((1, max_toxic), (0, max_ordinary))}
-    fold = F.pmod(F.col("_order"), F.lit(1 << 20))
-    usable = usable.where(fold < F.when(F.col("_label") == 1, int(share[1] * (1 << 20))).otherwise(int(share[0] * (1 << 20)))).withColumn("_held", F.pmod(F.shiftright("_order", 20), F.lit(HELD)) == 0)
+    usable = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key).select("_text", "_label", (F.pmod(F.shiftright("_order", 20), F.lit(HELD)) == 0).alias("_held"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
