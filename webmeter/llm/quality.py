@@ -21,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -110,19 +110,31 @@ def rows_of(column: pa.Array, bits: int = BITS) -> list[tuple[np.ndarray, np.nda
     return out
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", max_rows: int = MAX_LABELLED, shards: int = SHARDS) -> Weights:
+def sample(labels: DataFrame, label: str, key: str, most: dict[int, int]) -> tuple[DataFrame, dict[int, int]]:
+    """About ``most[y]`` rows of each label y, those with the smallest hashes of the key, and the labels' sizes.
+
+    Rows (key, _label, _order), at most one a key; the bound on their number
+    makes them safe to broadcast.
+    """
+    usable = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).cast("int").alias("_label")).withColumn("_order", F.xxhash64(F.col(key), F.lit(label)))
+    sizes = {r["_label"]: r["n"] for r in usable.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limit = F.lit(0)
+    for y, n in sizes.items():
+        limit = F.when(F.col("_label") == y, int(min(1.0, most[y] / n) * (1 << 20))).otherwise(limit)
+    return usable.where(F.pmod(F.col("_order"), F.lit(1 << 20)) < limit), sizes
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", max_rows: int = MAX_LABELLED, shards: int = SHARDS) -> Weights:
     """Fit on a bounded sample of the labelled rows.
 
-    The rows with the smallest hashes of (key, text) are kept, about
-    ``max_rows`` of them; each of ``shards`` tasks learns from its share and
-    the weight vectors are averaged.
+    About ``max_rows`` rows are kept, half of them for each label if there are
+    as many; each of ``shards`` tasks learns from its share and the sparse
+    weight vectors are averaged.
     """
-    usable = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("_text"), F.col(label).cast("int").alias("_label"), F.xxhash64(F.col(key), F.lit("quality")).alias("_order"))
-    n = usable.count()
-    if not n:
+    chosen, sizes = sample(labels, label, key, {0: max_rows // 2, 1: max_rows // 2})
+    if not sizes:
         return Weights(np.zeros(1 << BITS, np.float32), 0.0)
-    if n > max_rows:
-        usable = usable.where(F.pmod(F.col("_order"), F.lit(1 << 20)) < int(max_rows * (1 << 20) / n))
+    usable = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key).select("_text", "_label", "_order")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels, order = [], [], []
@@ -137,7 +149,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
             values = np.append(w.vector[used], w.bias) * len(rows)
             yield pa.RecordBatch.from_pydict({"slot": pa.array(np.append(used, 1 << BITS).astype(np.int32)), "weighed": pa.array(values.astype(float)), "n": pa.array([0] * len(used) + [len(rows)], pa.int64())})
 
-    T.scan_conf(labelled.sparkSession)
+    T.scan_conf(docs.sparkSession)
     shard = F.pmod(F.col("_order"), F.lit(shards))
     sparse = usable.repartition(shards, shard).mapInArrow(learn, "slot int, weighed double, n long")
     got = sparse.groupBy("slot").agg(F.sum("weighed").alias("weighed"), F.sum("n").alias("n")).toArrow()
@@ -167,9 +179,3 @@ def score(docs: DataFrame, weights: Weights, text: str = "text", out: str = "sco
 def predicted(score_column: Column, threshold: float = 0.3) -> Column:
     """1 where the score reaches the threshold."""
     return (score_column >= threshold).cast("int")
-
-
-def labelled_rows(spark: SparkSession, sf_dir: str, fold: str) -> DataFrame:
-    """Documents with their labels, restricted to the folds that ``fold`` (SQL on doc_id) keeps."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold).select("doc_id", "quality", "toxic").dropDuplicates(["doc_id"])
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").join(labels, "doc_id")
