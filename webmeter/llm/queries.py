@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, maxent, quality, secret_scan, toxicity
+from . import bpe, chat, decontaminate, fingerprints, jaccard, maxent, quality, secret_scan, toxicity
 from .text import crc32_mod
 
 
@@ -38,6 +38,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(f"{crc32_mod('doc_id', 5)} = 0").alias("held_out"), "score", quality.predicted(F.col("score"), 0.3).alias("predicted"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each of its speakers."""
+    return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likenesses."""
+    return fingerprints.compare(_documents(spark, sf_dir))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, with the item, the place and the similarity."""
     return decontaminate.find(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -70,10 +80,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_chat": op4_chat,
     "op5_decontaminate": op5_decontaminate,
+    "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
     "op9_jaccard": op9_jaccard,
     "op10_secrets": op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_chat": chat.ORACLE}
