@@ -165,9 +165,9 @@ def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int
     a null id last).
     """
     spark = docs.sparkSession
-    # candidate components
+    # candidate components; sides that grow with the input are merged, never broadcast, at every size
     bands = signed.where("k1 is not null").select(F.col("k1").alias("node"), F.explode("nodes").alias("band"))
-    many = bands.groupBy("band").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x").select("band", "m")
+    many = bands.groupBy("band").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x").select("band", "m").hint("merge")
     member = components(bands.join(many, "band").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v")).distinct())
     member = T.written(spark, member)
     sizes = member.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
@@ -176,7 +176,7 @@ def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int
     wanted = T.written(spark, copies.join(placed, F.col("k1") == F.col("node")).select("node", "root", "blocks", "block", "n", "copy_id"))
     # the texts of the candidates, one row per set: by the id of its first copy
     own = docs.select(F.coalesce(F.col(key), F.lit(0)).alias("_i"), F.col(key).isNull().alias("_none"), F.col(text).alias("_text"))
-    sought = wanted.select("node", "root", "blocks", "block", "n", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"))
+    sought = wanted.select("node", "root", "blocks", "block", "n", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none")).hint("merge")
     held = own.join(sought, ["_i", "_none"]).select("node", "root", "blocks", "block", "n", "_text")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     rows with similarity 0.8 or more, copies included.
     """
     signed = T.written(docs.sparkSession, sign(docs, key, text, trees, matched_depth(trees)))
-    own = classes(docs, signed, key, text, block)
+    own = classes(docs, signed, key, text, block).hint("merge")
     out = signed.select("_id", "k1", "k2").join(own, ["k1", "k2"], "left")
     return out.select(F.col("_id").alias(key), F.coalesce("class_id", "_id").alias("class_id"), F.coalesce("copy_id", "_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -226,7 +226,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     """
     spark, names = docs.sparkSession, docs.columns
     signed = T.written(spark, sign(docs, key, text, trees, matched_depth(trees)))
-    heads = classes(docs, signed, key, text, block).where("first").select("k1", "k2", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"), F.lit(True).alias("_head"))
+    heads = classes(docs, signed, key, text, block).where("first").select("k1", "k2", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"), F.lit(True).alias("_head")).hint("merge")
     schema = docs.select(F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2"), F.struct(*(docs[c] for c in names)).alias("_row")).schema
     place = names.index(text)
 
