@@ -1,0 +1 @@
+"""webmeter: web-analytics counting and corpus operators on PySpark."""
