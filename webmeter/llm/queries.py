@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, jaccard, maxent, quality, secret_scan, toxicity
+from . import bpe, chat, decontaminate, fingerprints, jaccard, maxent, quality, secret_scan, suffix_dedup, toxicity
 from .text import crc32_mod
 
 
@@ -65,6 +65,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return bpe.encode(docs, bpe.rank_file(spark, path or rank_path()), outputs=("n_tokens", "ids_sha256", "decoded_sha256"), keep=["doc_id"])
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every text without the 100-byte strings that start earlier."""
+    return suffix_dedup.dedup(_documents(spark, sf_dir), digests=True)
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links (five-word shingles, similarity 0.8 or more) of every document."""
     return jaccard.near_copies(_documents(spark, sf_dir))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard": op9_jaccard,
     "op10_secrets": op10_secrets,
 }
