@@ -153,7 +153,7 @@ REQUESTS = """, req AS (
 
 
 def _disc(q: float) -> str:
-    return f"quantile_disc(latency_us, {q})::BIGINT"
+    return f"quantile_disc(latency_us, {q})::DOUBLE"
 
 
 def _histogram(values: str, column: str, bounds: list[float], by: str) -> str:
