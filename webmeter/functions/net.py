@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _V4 = r"^(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}$"
 
@@ -19,7 +20,7 @@ def host(remote: Column) -> Column:
     return F.when(bracket != "", bracket).when(remote.rlike(r"^[^:]*:\d*$"), plain).otherwise(remote)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _truncate_v6(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def one(value: str | None) -> str:
         try:
