@@ -168,7 +168,7 @@ def whole_runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def decide(batches: Iterator[pa.RecordBatch], most: int = MOST) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor to ranges and requests; ``same`` of a request is 1 if its anchor is to be split."""
     for t in whole_runs(batches, 1):
         kind, anchor, same, id_, h, start, own = (t.column(i).to_numpy() for i in range(7))
@@ -185,7 +185,7 @@ def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = many[where] > 1
         k = keep[asked]
         if len(k):
-            yield _rows(REQUEST, anchor[k], (many[where][asked] > MOST).astype(np.int64), id_[k], h[k], start[k], own[k])
+            yield _rows(REQUEST, anchor[k], (many[where][asked] > most).astype(np.int64), id_[k], h[k], start[k], own[k])
 
 
 def repeated(pieces: list[bytes], own: list[int]) -> list[tuple[int, int]]:
@@ -216,12 +216,25 @@ def repeated(pieces: list[bytes], own: list[int]) -> list[tuple[int, int]]:
     return sorted((owner[i], i - begins[owner[i]]) for i in out)
 
 
+def meets_another(anchor: np.ndarray, own: np.ndarray, raw: pa.ChunkedArray) -> np.ndarray:
+    """Whether some window of a context has the hash of another window of its anchor: without one, nothing in it repeats."""
+    data, at = T.buffers(raw)
+    begin = np.repeat(at[:-1] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
+    key = T.mix(T.hash_spans(data, begin, begin + LENGTH, lower=False) ^ np.repeat(T.mix(anchor.view(U)), own))
+    _, where, many = np.unique(key, return_inverse=True, return_counts=True)
+    return T.sums(many[where] > 1, own.astype(np.int64)) > 0
+
+
 def sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, id, h, start, own, bytes) sorted by anchor to removed ranges."""
     for t in whole_runs(batches, 0):
         anchor, id_, h, start, own = (t.column(i).to_numpy() for i in range(5))
         raw = t.column(5)
+        alone = ~meets_another(anchor, own, raw)
         by = np.lexsort((start, h, id_, anchor))
+        by = by[~alone[by]]
+        if not len(by):
+            continue
         cut = np.flatnonzero(np.concatenate([[True], anchor[by][1:] != anchor[by][:-1]]))
         found: list[tuple[int, int]] = []
         for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(by)], strict=True):
@@ -282,12 +295,12 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def removed_ranges(own: DataFrame) -> DataFrame:
+def removed_ranges(own: DataFrame, most: int = MOST) -> DataFrame:
     """Rows (id, h, ranges) for the documents (id, h, text) that lose bytes."""
     spark = own.sparkSession
     T.scan_conf(spark)
     found = own.mapInArrow(gather, ROW)
-    decided = T.written(spark, found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(decide, ROW))
+    decided = T.written(spark, found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lambda batches: decide(batches, most), ROW))
     _release(spark)
     asked = decided.where(F.col("kind") == REQUEST).select("anchor", F.col("same").alias("split"), "id", "h", "start", "own").hint("merge")
     fetched = own.join(asked, ["id", "h"]).select("anchor", "split", "id", "h", "start", "own", F.substring(F.col("text").cast("binary"), F.col("start") + 1, F.col("own") + (LENGTH - 1)).alias("bytes"))
@@ -301,14 +314,14 @@ def removed_ranges(own: DataFrame) -> DataFrame:
     return both.groupBy("id", "h").agg(F.collect_list(F.struct("start", (F.col("start") + F.col("own")).alias("end"))).alias("ranges"))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False, most: int = MOST) -> DataFrame:
     """Rows (key, n_bytes, n_removed, n_spans, kept) for every row; ``kept_sha256`` instead of ``kept`` with ``digests``."""
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(key), F.lit(-(1 << 63))).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # a hash of the text tells rows of one id apart; without such rows it is left out
     twice = bool(own.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
     own = own.withColumn("h", F.xxhash64("text") if twice else F.lit(0).cast("long"))
-    ranges = removed_ranges(own.select("id", "h", "text")).hint("merge")
+    ranges = removed_ranges(own.select("id", "h", "text"), most).hint("merge")
     met = own.join(ranges, ["id", "h"], "left").select("_id", "text", F.coalesce("ranges", F.array().cast("array<struct<start:int,end:int>>")).alias("ranges"))
     last = "kept_sha256 string" if digests else "kept binary"
     T.scan_conf(spark)
