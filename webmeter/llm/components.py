@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from .text import written
 
 
+#: Parts that the edges of a hub are dealt to.
+SALT = 16
+
+
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """Rows (node, root): every node of an edge (u, v) with the least node of its component.
 
     Alternates the two star operations until nothing changes; each round is
     written to the shared folder, so that a lost executor costs no more than
-    one round, and no group is ever collected: a hub's edges are only counted
-    and joined, which Spark can split.
+    one round, and no group is ever collected: a hub's edges are aggregated in
+    parts and joined in ``SALT`` parts.
     """
     spark = edges.sparkSession
     edges = written(spark, edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -22,7 +26,9 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     for _ in range(most):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        dealt = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALT)).cast("int"))
+        copies = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        large = dealt.join(copies, ["u", "salt"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         edges = written(spark, small)

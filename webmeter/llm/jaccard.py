@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from . import text as T
 from .components import components
@@ -88,7 +89,7 @@ def prefixes(sets: np.ndarray, many: np.ndarray, trees: int, depth: int) -> np.n
 
 def sign(docs: DataFrame, key: str, text: str, trees: int, depth: int) -> DataFrame:
     """Rows (key, k1, k2, trie nodes): k1, k2 identify the set; both null for a text without words."""
-    schema = docs.select(F.col(key).alias("_id"), F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2")).withColumn("nodes", F.array(F.col("k1"))).schema
+    schema = f"_id {dict(docs.dtypes)[key]}, k1 long, k2 long, nodes array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,7 +228,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     spark, names = docs.sparkSession, docs.columns
     signed = T.written(spark, sign(docs, key, text, trees, matched_depth(trees)))
     heads = classes(docs, signed, key, text, block).where("first").select("k1", "k2", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"), F.lit(True).alias("_head")).hint("merge")
-    schema = docs.select(F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2"), F.struct(*(docs[c] for c in names)).alias("_row")).schema
+    schema = ST.StructType([ST.StructField("_k1", ST.LongType()), ST.StructField("_k2", ST.LongType()), ST.StructField("_row", docs.schema)])
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +242,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
                 some.append(many > 0)
             if some:
                 none = ~np.concatenate(some)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k1), mask=none), pa.array(np.concatenate(k2), mask=none), pa.StructArray.from_arrays(b.columns, names)], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k1), mask=none), pa.array(np.concatenate(k2), mask=none), pa.StructArray.from_arrays(b.columns, names)], schema.fieldNames())
 
     at = ["k1", "k2", "_i", "_none"]
     rows = docs.mapInArrow(run, schema).select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.coalesce(F.col(f"_row.{key}"), F.lit(0)).alias("_i"), F.col(f"_row.{key}").isNull().alias("_none"), "_row")
