@@ -36,7 +36,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _units(text: Column) -> Column:
-    words = F.split(text, "[\\x20\\x09-\\x0D]+")
+    words = F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), "[\\x20\\x09-\\x0D]+")
     return _let(words, lambda w: F.when((F.char_length(text) < SHORT_CHARS) | (F.size(w) < SHORT_WORDS), F.split(text, "")).otherwise(w))
 
 
