@@ -39,7 +39,10 @@ def problems(spark, **change):
     row = BASE | change
     df = spark.createDataFrame([tuple(row.values())], "id string, site string, visitor string, type string, url string, ts string")
     found = validation.problems(c("id"), c("site"), c("visitor"), c("type"), c("url"), c("ts").cast("timestamp"), F.lit("2026-01-01 10:00:00").cast("timestamp"))
-    return df.select(found).first()[0]
+    plain = validation.valid(c("id"), c("site"), c("visitor"), c("type"), c("url"), c("ts").cast("timestamp"), F.lit("2026-01-01 10:00:00").cast("timestamp"))
+    listed, good = df.select(found, F.coalesce(plain, F.lit(False))).first()
+    assert good is not bool(listed)
+    return listed
 
 
 @pytest.mark.parametrize(

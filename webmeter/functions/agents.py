@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fragments that give automated clients away.
@@ -23,25 +23,42 @@ def normal(agent: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(agent, F.lit("")), r"(?U)^\s+|\s+$", ""))
 
 
-def is_bot(agent: Column) -> Column:
-    low = normal(agent)
+def bot_of(low: Column) -> Column:
+    """Whether a normal agent is a bot's; an absent agent counts as one."""
     return (low == "") | has_any(low, BOT_FRAGMENTS)
 
 
-def browser(agent: Column) -> Column:
-    low = normal(agent)
-    rule = F.when(is_bot(agent), "other")
+def browser_of(low: Column, bot: Column) -> Column:
+    rule = F.when(bot, "other")
     for name, fragments in BROWSER_RULES:
         rule = rule.when(has_any(low, fragments), name)
     return rule.otherwise("other")
 
 
-def device(agent: Column) -> Column:
-    low = normal(agent)
+def device_of(low: Column, bot: Column) -> Column:
     return (
-        F.when(is_bot(agent), "bot")
+        F.when(bot, "bot")
         .when(has_any(low, ["ipad", "tablet"]), "tablet")
         .when(F.contains(low, F.lit("android")) & ~F.contains(low, F.lit("mobile")), "tablet")
         .when(has_any(low, ["mobile", "iphone", "android"]), "mobile")
         .otherwise("desktop")
     )
+
+
+def is_bot(agent: Column) -> Column:
+    return bot_of(normal(agent))
+
+
+def browser(agent: Column) -> Column:
+    return browser_of(normal(agent), is_bot(agent))
+
+
+def device(agent: Column) -> Column:
+    return device_of(normal(agent), is_bot(agent))
+
+
+def classified(events: DataFrame, column: str = "user_agent") -> DataFrame:
+    """Adds browser, device and is_bot; the agent is normalised once a row."""
+    low = events.withColumn("_low", normal(F.col(column)))
+    marked = low.withColumn("is_bot", bot_of(F.col("_low")))
+    return marked.withColumns({"browser": browser_of(F.col("_low"), F.col("is_bot")), "device": device_of(F.col("_low"), F.col("is_bot"))}).drop("_low")

@@ -37,6 +37,14 @@ def problems(id_: Column, site: Column, visitor: Column, type_: Column, url: Col
     return F.filter(found, lambda p: p.isNotNull())
 
 
+def valid(id_: Column, site: Column, visitor: Column, type_: Column, url: Column, ts: Column, now: Column) -> Column:
+    """Whether there is no problem, as one plain condition (for filters in the hot path)."""
+    size = lambda c, limit: F.octet_length(F.coalesce(c, F.lit(""))).between(1, limit)
+    fields = size(id_, MAX_FIELD_BYTES) & size(site, MAX_FIELD_BYTES) & size(visitor, MAX_FIELD_BYTES)
+    typed = F.coalesce(type_.isin("pageview", "click"), F.lit(False))
+    return fields & typed & size(url, MAX_URL_BYTES) & absolute_http(url) & ~missing_time(ts) & (ts <= now + F.expr(f"INTERVAL {MAX_FUTURE_SKEW_S} SECONDS"))
+
+
 def lateness_us(ts: Column, received: Column, now: Column) -> Column:
     reference = F.when(missing_time(received), now).otherwise(received)
     return F.unix_micros(reference) - F.unix_micros(ts)

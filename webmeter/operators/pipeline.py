@@ -20,13 +20,14 @@ def judged(events: DataFrame, now: str = "received_at") -> DataFrame:
 
 def accepted(events: DataFrame, now: str = "received_at") -> DataFrame:
     """Valid events that are not too late; both tests are plain filters before any exchange."""
-    return judged(events, now).where("reason is null").drop("problems", "late_us", "reason")
+    c = F.col
+    good = validation.valid(c("id"), c("site_id"), c("visitor_id"), c("type"), c("url"), c("ts"), c(now))
+    return events.where(good).where(~validation.too_late(validation.lateness_us(c("ts"), c("received_at"), c(now))))
 
 
 def enriched(events: DataFrame) -> DataFrame:
     """Adds browser, device and is_bot; bots stay in the stream."""
-    ua = F.col("user_agent")
-    return events.withColumns({"browser": agents.browser(ua), "device": agents.device(ua), "is_bot": agents.is_bot(ua)})
+    return agents.classified(events)
 
 
 def dead_letters(events: DataFrame, now: str = "received_at") -> DataFrame:

@@ -138,8 +138,7 @@ def dedupe_owner(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ua_parse(spark: SparkSession, d: str) -> DataFrame:
-    ua = c("user_agent")
-    return _web(spark, d).select("id", "copy", agents.browser(ua).alias("browser"), agents.device(ua).alias("device"), agents.is_bot(ua).alias("is_bot"))
+    return agents.classified(_web(spark, d)).select("id", "copy", "browser", "device", "is_bot")
 
 
 def ip_anonymize(spark: SparkSession, d: str) -> DataFrame:
