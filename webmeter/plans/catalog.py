@@ -357,10 +357,11 @@ def audit_bucket_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_copies_in_diff(spark: SparkSession, d: str) -> DataFrame:
-    """Differing buckets with the events in several copies that they contain."""
+    """Differing buckets, a row for each event in several copies that they contain (one row with blanks if there is none)."""
     diff = audit_bucket_diff(spark, d).select("bucket_id")
-    multi = audit.copies(_positioned(spark, d)).where("copies > 1").groupBy("bucket_id").agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("@", c("id"), c("positions")))), " ").alias("events"))
-    return diff.join(multi, "bucket_id", "left").select("bucket_id", F.coalesce("events", F.lit("")).alias("events"))
+    multi = audit.copies(_positioned(spark, d)).where("copies > 1").select("bucket_id", "id", "positions")
+    blank = F.lit("")
+    return diff.join(multi, "bucket_id", "left").select("bucket_id", F.coalesce("id", blank).alias("id"), F.coalesce("positions", blank).alias("positions"))
 
 
 def audit_verdict(spark: SparkSession, d: str) -> DataFrame:

@@ -230,7 +230,7 @@ ORACLE: dict[str, str] = {
     "audit_copies": _web("SELECT site_id, id, copies, partitions, positions FROM multi", OFFSETS, COPIES),
     "audit_totals": _web("SELECT bucket_id, pageviews, clicks, bot_events FROM base", BASE),
     "audit_bucket_diff": _web("SELECT * FROM off ORDER BY bucket_id", STORED),
-    "audit_copies_in_diff": _web("SELECT off.bucket_id, coalesce(string_agg(multi.id || '@' || positions, ' ' ORDER BY multi.id || '@' || positions), '') AS events FROM off LEFT JOIN multi ON multi.bucket_id = off.bucket_id GROUP BY 1", STORED, OFFSETS, COPIES),
+    "audit_copies_in_diff": _web("SELECT off.bucket_id, coalesce(multi.id, '') AS id, coalesce(positions, '') AS positions FROM off LEFT JOIN multi ON multi.bucket_id = off.bucket_id", STORED, OFFSETS, COPIES),
     "audit_verdict": _web("SELECT what, CASE WHEN u AND s THEN 'consistent' WHEN NOT u AND s THEN 'upstream' WHEN NOT u THEN 'upstream_and_aggregation' ELSE 'aggregation' END AS verdict FROM (SELECT what, u, s OR same AS s FROM (VALUES ('all equal', true, true), ('stored differs', true, false), ('log differs', false, true), ('both differ', false, false)) c(what, u, s), (SELECT (SELECT (sum(pageviews), sum(clicks), sum(bot_events)) FROM un) = (SELECT (sum(pageviews), sum(clicks), sum(bot_events)) FROM stored) AS same) z) y", STORED),
     "expected_totals": _web("SELECT * FROM want", REQUESTS),
     "latency_percentiles": _web(f"SELECT part AS step, count(*) AS scheduled, count(*) FILTER (WHERE status >= 500) AS errors, {_disc(0.5)} AS p50, {_disc(0.95)} AS p95, {_disc(0.99)} AS p99, max(latency_us)::BIGINT AS max FROM req GROUP BY 1", REQUESTS),
