@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from compare import DATA
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from webmeter.functions.keys import bucket_id
 from webmeter.operators import counters, pipeline
 from webmeter.plans import catalog
 from webmeter.sources import topics, webevents
-from webmeter.streaming import queries, sinks
+from webmeter.streaming import queries, sinks, stateful
 from webmeter.streaming.progress import ProgressLog
 
 FOLDER = f"{DATA}/sf0.001"
@@ -89,3 +91,25 @@ def test_progress_rows(spark):
     finally:
         spark.streams.removeListener(log)
     assert sum(r["size"] for r in log.rows) == webevents.web_events(spark, FOLDER).count()
+
+
+def test_sessions_with_a_ttl(spark, tmp_path):
+    """A running query whose state expires gives the same sessions; it is stopped by hand."""
+    _, path = queries._staged(spark, FOLDER, 1)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", queries.ROCKSDB)
+    try:
+        humans = pipeline.enriched(pipeline.accepted(queries._stream(spark, FOLDER, path))).where("not is_bot")
+        out = stateful.assign(humans.withColumns({"order": F.col("event_id") * 2 + F.col("copy"), "payload": F.col("copy").cast("string")}), ttl_ms=stateful.SESSION_TTL_MS)
+        q = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(processingTime="2 seconds").start()
+        try:
+            want = catalog.sessions_assign(spark, FOLDER).select("id", "session_id", "new_session")
+            n, end = want.count(), time.time() + 90
+            while sum(p["numInputRows"] for p in q.recentProgress) == 0 and time.time() < end:
+                time.sleep(0.5)
+            time.sleep(2)
+        finally:
+            q.stop()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = spark.read.schema("id string, session_id string, new_session boolean").parquet(f"{tmp_path}/out")
+    assert got.count() == n and got.exceptAll(want).count() == 0
