@@ -4,7 +4,8 @@ Two interpolated Kneser-Ney models of order ``ORDER`` (bytes within a word and
 its borders), one of toxic and one of ordinary text, share their backoff counts
 below order 3, so that a letter sequence rare in both is as likely under
 either.  A text's evidence is the difference of the two log-likelihoods divided
-by its number of words, together with the same for its worst words; a logistic
+by its number of words, together with what single words exceed some levels by,
+divided alike; a logistic
 curve fitted on labelled rows that the models have not seen turns it into a
 score.
 
@@ -38,6 +39,8 @@ DISCOUNT = 0.95
 MAX_TOXIC, MAX_ORDINARY = 6000, 12_000
 #: One row in so many is kept from the models, for the curve.
 HELD = 4
+#: A word's difference (nats) counts with what exceeds each of these levels.
+LEVELS = (0.0, 0.5, 1.0, 2.0, 3.0, 4.0, 6.0)
 #: Bytes of text at once: every letter takes some dozen words of memory.
 STEP = 1 << 16
 U = np.uint64
@@ -129,10 +132,10 @@ def kneser_ney(keys: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, plain:
 
 
 def evidence(data: np.ndarray, offsets: np.ndarray, grams: Table, histories: Table) -> np.ndarray:
-    """Columns for each text: mean difference a word, mean of what exceeds a word's usual noise."""
+    """Columns for each text: mean difference a word, then the means of what exceeds each level."""
     key, length, long, counts = letters(data, offsets)
     if not len(key):
-        return np.zeros((len(counts), 2))
+        return np.zeros((len(counts), 1 + len(LEVELS)))
     value = grams.find(_tag(key, length))
     value[length < 3] = 0
     left = np.flatnonzero(np.isnan(value))
@@ -151,19 +154,20 @@ def evidence(data: np.ndarray, offsets: np.ndarray, grams: Table, histories: Tab
         left, key, length = left[~hit], key[~hit], length[~hit]
     word = np.add.reduceat(value.astype(float), np.cumsum(long) - long)
     words = np.maximum(counts, 1)
-    return np.stack([T.sums(word, counts) / words, T.sums(np.maximum(word - 2.0, 0), counts) / words], 1)
+    return np.stack([T.sums(word, counts) / words, *(T.sums(np.maximum(word - level, 0), counts) / words for level in LEVELS)], 1)
 
 
 def _expand(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(x)), np.clip(x[:, 0], -3, 3), np.log1p(50 * np.maximum(x[:, 1], 0))])
+    return np.column_stack([np.ones(len(x)), np.clip(x[:, 0], -3, 3), np.log1p(50 * np.maximum(x[:, 1:], 0))])
 
 
 def curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> np.ndarray:
     """Logistic regression by Newton steps."""
-    a, w = _expand(x), np.zeros(3)
+    a = _expand(x)
+    w = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(3)
+        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         w = w + np.linalg.solve(h, a.T @ (y - p) - ridge * w)
     return w
 
@@ -193,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     chosen, sizes = sample(labels, label, key, {1: max_toxic, 0: max_ordinary})
     if len(sizes) < 2:
         none = table(np.empty(0, U), np.empty(0, np.float32))
-        return Model(none, none, np.zeros(3), float(1 in sizes))
+        return Model(none, none, np.zeros(2 + len(LEVELS)), float(1 in sizes))
     usable = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key).select("_text", "_label", (F.pmod(F.shiftright("_order", 20), F.lit(HELD)) == 0).alias("_held"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,14 +217,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.concatenate([evidence(c.data, c.offsets, *shared.value) for c in T.chunks(b.column(0), STEP)]) if b.num_rows else np.zeros((0, 2))
-            yield pa.RecordBatch.from_pydict({"y": b.column(1), "a": x[:, 0], "b": x[:, 1]})
+            x = np.concatenate([evidence(c.data, c.offsets, *shared.value) for c in T.chunks(b.column(0), STEP)]) if b.num_rows else np.zeros((0, 1 + len(LEVELS)))
+            yield pa.RecordBatch.from_pydict({"y": b.column(1), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
-    held = usable.where("_held").select("_text", "_label").mapInArrow(measure, "y int, a double, b double").toArrow()
+    held = usable.where("_held").select("_text", "_label").mapInArrow(measure, "y int, x binary").toArrow()
     y = held["y"].to_numpy().astype(float)
     if len(set(y)) < 2:
-        return Model(grams, histories, np.array([-2.0, 4.0, 1.0]))
-    return Model(grams, histories, curve(np.stack([held["a"].to_numpy(), held["b"].to_numpy()], 1), y))
+        # no curve can be fitted: even odds where the evidence is nought
+        return Model(grams, histories, np.array([0.0, 4.0, *([0.0] * len(LEVELS))]))
+    return Model(grams, histories, curve(np.stack([np.frombuffer(r.as_py()) for r in held["x"]]), y))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
