@@ -33,6 +33,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,9 @@ BATCH = 8192
 RATE = 0.15
 TASK = 4_000_000
 ROWS = 1024
+#: Tasks whose weights are averaged at once.
+FAN = 64
+BLOCK_ROW = "block int, part int, weights binary, updates binary"
 U = np.uint64
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 BEGIN_CONTEXT = CONTEXT + ORTHO
@@ -268,12 +272,19 @@ def start(counts: DataFrame) -> Model:
     return blank(head["word"].to_numpy().view(U), head["kind"].to_numpy(), head["c"].to_numpy(), int(kt.sum()), int(kd.sum()), kt, kd)
 
 
+def _block(k: int, part: int, weights: np.ndarray, updates: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "part": pa.array([part], pa.int32()), "weights": [weights.astype(np.float16).tobytes()], "updates": [updates.astype(np.float32).tobytes()]})
+
+
 def train(docs: DataFrame, model: Model, task: int = TASK) -> Model:
     """One pass of gradient steps over the texts ``_text``, in tasks of about ``task`` tokens, averaged."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     blocks = (1 << BITS) // ROWS
 
+    tasks = max(1, math.ceil(model.total / task))
+    parts = max(1, math.ceil(tasks / FAN))
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(shared.value)
         some = False
@@ -281,29 +292,31 @@ def train(docs: DataFrame, model: Model, task: int = TASK) -> Model:
             for c in T.chunks(b.column(0)):
                 trainer.learn(tokens(c.data, c.offsets))
                 some = True
+        part = TaskContext.get().partitionId() % parts
         for which in range(2) if some else ():
             for k in range(blocks):
-                part = slice(k * ROWS, (k + 1) * ROWS)
-                yield pa.RecordBatch.from_pydict({"block": pa.array([which * blocks + k], pa.int32()), "weights": [trainer.weights[which][part].astype(np.float16).tobytes()], "updates": [trainer.updates[which][part].tobytes()]})
+                own = slice(k * ROWS, (k + 1) * ROWS)
+                yield _block(which * blocks + k, part, trainer.weights[which][own], trainer.updates[which][own])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, list[np.ndarray]] = {}
+        total: dict[tuple[int, int], list[np.ndarray]] = {}
         for b in batches:
-            for k, w, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                n = np.frombuffer(n, np.float32).astype(float)
+            for k, part, w, n in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                n = np.frombuffer(n, np.float32)
                 w = np.frombuffer(w, np.float16).astype(np.float32).reshape(ROWS, WIDTH) * n[:, None]
-                if k in total:
-                    total[k][0] += w
-                    total[k][1] += n
+                if (k, part) in total:
+                    total[k, part][0] += w
+                    total[k, part][1] += n
                 else:
-                    total[k] = [w, n]
-        for k, (w, n) in total.items():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "weights": [(w / np.maximum(n, 1)[:, None]).astype(np.float16).tobytes()]})
+                    total[k, part] = [w, n.astype(np.float64)]
+        for (k, part), (w, n) in total.items():
+            yield _block(k, part, w / np.maximum(n, 1)[:, None], n)
 
-    tasks = max(1, math.ceil(model.total / task))
-    sent = docs.select("_text").coalesce(tasks).mapInArrow(learn, "block int, weights binary, updates binary")
+    sent = docs.select("_text").coalesce(tasks).mapInArrow(learn, BLOCK_ROW)
+    # first among at most FAN tasks each, then among the parts: no task reads the blocks of all tasks
+    some = sent.repartition("block", "part").mapInArrow(average, BLOCK_ROW).withColumn("part", F.lit(0))
     rows = [np.zeros((1 << BITS, WIDTH), np.float32) for _ in range(2)]
-    for r in sent.repartition(2 * blocks, "block").mapInArrow(average, "block int, weights binary").collect():
+    for r in some.repartition("block").mapInArrow(average, BLOCK_ROW).select("block", "weights").collect():
         which, k = divmod(r.block, blocks)
         rows[which][k * ROWS : (k + 1) * ROWS] = np.frombuffer(r.weights, np.float16).reshape(ROWS, WIDTH)
     return model._replace(class_rows=rows[0], word_rows=rows[1])
