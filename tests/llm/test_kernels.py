@@ -249,7 +249,10 @@ def test_maxent_sums_to_at_most_one():
     u, at, n = np.unique(t.word, return_index=True, return_counts=True)
     by = np.argsort(-n, kind="stable")
     k = t.kind[at]
-    m = maxent.blank(u[by], k[by], n[by], len(t.word), len(u), np.bincount(k, n, maxent.ORTHO).astype(float), np.bincount(k, minlength=maxent.ORTHO).astype(float))
+    profile = np.repeat(maxent.profiles(t), t.counts)
+    assert sorted(set(maxent.profiles(t).tolist())) == [0, 3]
+    lean = np.array([np.bincount(profile[t.word == w]).argmax() for w in u])
+    m = maxent.blank(u[by], k[by], lean[by], n[by], len(t.word), len(u), np.bincount(k, n, maxent.ORTHO).astype(float), np.bincount(k, minlength=maxent.ORTHO).astype(float))
     trainer = maxent.Trainer(m)
     for _ in range(5):
         trainer.learn(t)

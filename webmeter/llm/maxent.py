@@ -2,15 +2,20 @@
 
 Words are those of ``text``, A-Z lower-cased, then one end mark a text.  The
 ``CLASSES * MEMBERS`` most frequent training words form classes by frequency
-rank; every other word belongs to one of ``ORTHO`` classes by its spelling, and
-a word equal to the one before it to a class of repeats.  With history h
+rank; the other words of the head (see below) belong to one of ``PROFILES``
+classes by the profile of the training texts they mostly stand in, words beyond
+the head to one of ``ORTHO`` classes by their spelling, and a word equal to the
+one before it to a class of repeats.  A text's profile is the group of
+continuation bytes that most of its words with such bytes have as their
+greatest (none: the first profile); it is used for counting only, never as a
+feature.  With history h
 
     P(w | h) = P(class | h) * P(w | class, h)
 
 where both factors of a frequent word are softmaxes over hashed features of h
 (the word before, the pair before, and the word before that one, skipping one;
-within a class, the word and the pair before), and a word of a spelling class has its
-smoothed training share in that class.  A repeated word's probability counts
+within a class, the word and the pair before), and a word of a profile or spelling class
+has its smoothed training share in that class.  A repeated word's probability counts
 only the class of repeats, so the sum over all words is at most 1.
 
 Counts of all words come from one pass over all training texts; weights are
@@ -42,8 +47,11 @@ from .tables import Table, table
 
 ALPHA = 0.1
 WIDTH = 32
-CLASSES, MEMBERS, ORTHO = 23, 32, 8
-REPEAT = CLASSES + ORTHO
+CLASSES, MEMBERS, PROFILES, ORTHO = 23, 32, 4, 4
+OPEN = PROFILES + ORTHO
+REPEAT = CLASSES + OPEN
+#: Share of a text's words that must have the bytes of a profile.
+PROFILE_SHARE = 0.03
 FREQUENT = CLASSES * MEMBERS
 HEAD = 1 << 18
 CONTEXT = 1 << 14
@@ -57,12 +65,10 @@ FAN = 64
 BLOCK_ROW = "block int, part int, weights binary, updates binary"
 U = np.uint64
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
-BEGIN_CONTEXT = CONTEXT + ORTHO
+BEGIN_CONTEXT = CONTEXT + OPEN
 
 _CONT = np.zeros(256, np.uint8)
 _CONT[128:192] = np.arange(128, 192)
-_SIGN = np.ones(256, bool)
-_SIGN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 class Tokens(NamedTuple):
@@ -81,10 +87,16 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
         at = np.arange(len(starts)) + np.repeat(np.arange(len(counts)), counts)
         word[at] = T.hash_spans(data, starts, ends)
         high = np.maximum.reduceat(np.append(_CONT[data], 0), np.stack([starts, ends], 1).ravel())[::2]
-        kind[at] = np.searchsorted(np.array([1, 0xAC, 0xB4], np.uint8), high, "right").astype(np.uint8) * 2 + _SIGN[data[ends - 1]]
+        kind[at] = np.searchsorted(np.array([1, 0xAC, 0xB4], np.uint8), high, "right").astype(np.uint8)
     return Tokens(word, kind, counts + 1)
 
 
+def profiles(t: Tokens) -> np.ndarray:
+    """Profile of each text."""
+    n = np.stack([T.sums(t.kind == k, t.counts) for k in range(1, PROFILES)], 1)
+    return np.where(n.max(1) >= np.maximum(1, PROFILE_SHARE * t.counts), n.argmax(1) + 1, 0)
+
+
 class Model(NamedTuple):
     """What scoring needs; everything has a fixed bound."""
 
@@ -92,28 +104,29 @@ class Model(NamedTuple):
     counts: np.ndarray
     total: int
     distinct: int
-    kind_total: np.ndarray
-    kind_distinct: np.ndarray
+    open_class: np.ndarray
+    open_total: np.ndarray
+    open_distinct: np.ndarray
     class_bias: np.ndarray
     word_bias: np.ndarray
     class_rows: np.ndarray
     word_rows: np.ndarray
 
 
-def blank(words: np.ndarray, kinds: np.ndarray, counts: np.ndarray, total: int, distinct: int, kind_total: np.ndarray, kind_distinct: np.ndarray) -> Model:
-    """The model before training; words in descending order of their counts.
+def blank(words: np.ndarray, kinds: np.ndarray, lean: np.ndarray, counts: np.ndarray, total: int, distinct: int, kind_total: np.ndarray, kind_distinct: np.ndarray) -> Model:
+    """The model before training; head words in descending order of their counts.
 
-    ``kind_total`` and ``kind_distinct`` cover all words; the frequent ones are
-    taken out here.
+    ``lean`` is the profile of each head word; ``kind_total`` and
+    ``kind_distinct`` cover all words, the head's are taken out here.
     """
-    top = counts[:FREQUENT]
-    kt = kind_total - np.bincount(kinds[:FREQUENT], top, ORTHO)
-    kd = kind_distinct - np.bincount(kinds[:FREQUENT], minlength=ORTHO)
+    top, rest = counts[:FREQUENT], slice(FREQUENT, None)
+    own = np.concatenate([np.bincount(lean[rest], counts[rest], PROFILES), kind_total - np.bincount(kinds, counts, ORTHO)])
+    many = np.concatenate([np.bincount(lean[rest], minlength=PROFILES), kind_distinct - np.bincount(kinds, minlength=ORTHO)])
     inside = np.zeros(FREQUENT)
     inside[: len(top)] = top
     inside = inside.reshape(CLASSES, MEMBERS) + ALPHA
-    mass = np.concatenate([inside.sum(1), kt + ALPHA, [max(1.0, total * 0.002)]])
-    return Model(table(words, np.arange(len(words), dtype=np.float32)), counts.astype(np.int64), total, distinct, kt, kd, np.log(mass / mass.sum()).astype(np.float32), np.log(inside / inside.sum(1, keepdims=True)).astype(np.float32), np.zeros((1 << BITS, WIDTH), np.float32), np.zeros((1 << BITS, WIDTH), np.float32))
+    mass = np.concatenate([inside.sum(1), own + ALPHA * (many + 1), [max(1.0, total * 0.002)]])
+    return Model(table(words, np.arange(len(words), dtype=np.float32)), counts.astype(np.int64), total, distinct, lean.astype(np.uint8), own, many, np.log(mass / mass.sum()).astype(np.float32), np.log(inside / inside.sum(1, keepdims=True)).astype(np.float32), np.zeros((1 << BITS, WIDTH), np.float32), np.zeros((1 << BITS, WIDTH), np.float32))
 
 
 class Coded(NamedTuple):
@@ -136,7 +149,10 @@ def code(t: Tokens, model: Model) -> Coded:
     first = np.zeros(n, bool)
     begin = np.cumsum(t.counts) - t.counts
     first[begin] = True
-    context = np.where((rank >= 0) & (rank < CONTEXT), rank, CONTEXT + t.kind.astype(np.int32)).astype(U)
+    known = rank >= 0
+    lean = model.open_class[np.maximum(rank, 0)].astype(np.int32) if len(model.open_class) else np.zeros(n, np.int32)
+    opened = np.where(known, lean, PROFILES + t.kind.astype(np.int32))
+    context = np.where(known & (rank < CONTEXT), rank, CONTEXT + opened).astype(U)
     before = []
     for _ in range(2):
         source = before[-1] if before else context
@@ -144,7 +160,7 @@ def code(t: Tokens, model: Model) -> Coded:
         shifted[first] = BEGIN_CONTEXT
         before.append(shifted)
     word = np.concatenate([t.word[:1], t.word[:-1]])
-    cls = np.where((rank >= 0) & (rank < FREQUENT), rank // MEMBERS, CLASSES + t.kind.astype(np.int32)).astype(np.int32)
+    cls = np.where(known & (rank < FREQUENT), rank // MEMBERS, CLASSES + opened).astype(np.int32)
     cls[(word == t.word) & ~first] = REPEAT
     one, two = (b + U(1) for b in before)
     m = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -222,7 +238,7 @@ def score_chunk(data: np.ndarray, offsets: np.ndarray, model: Model) -> dict[str
     smoothed = np.where(known, np.log10(count + ALPHA), 0.0)
     spelled = (c.cls >= CLASSES) & (c.cls < REPEAT)
     k = c.cls[spelled] - CLASSES
-    log[spelled] += smoothed[spelled] - np.log10(model.kind_total + ALPHA * (model.kind_distinct + 1))[k]
+    log[spelled] += smoothed[spelled] - np.log10(model.open_total + ALPHA * (model.open_distinct + 1))[k]
     beyond = ~known
     waits = beyond & spelled
     return {
@@ -238,7 +254,7 @@ def score_chunk(data: np.ndarray, offsets: np.ndarray, model: Model) -> dict[str
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """Rows (word, kind, c) over the texts ``_text``."""
+    """Rows (word, kind, c, p1, p2, ...) over the texts ``_text``: count in all, and in texts of each profile but the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -246,8 +262,10 @@ def count_words(docs: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             word = np.concatenate([t.word for t in held])
             kind = np.concatenate([t.kind for t in held])
-            u, where, n = np.unique(word, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(kind[where].astype(np.int32)), pa.array(n)], ["word", "kind", "c"])
+            profile = np.concatenate([np.repeat(profiles(t), t.counts) for t in held])
+            u, first, where = np.unique(word, return_index=True, return_inverse=True)
+            by = np.bincount(where * PROFILES + profile, minlength=len(u) * PROFILES).reshape(-1, PROFILES)
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(kind[first].astype(np.int32)), pa.array(by.sum(1)), *(pa.array(by[:, k]) for k in range(1, PROFILES))], ["word", "kind", "c", *names])
 
         for b in batches:
             for c in T.chunks(b.column(0)):
@@ -259,7 +277,9 @@ def count_words(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return docs.select("_text").mapInArrow(run, "word long, kind int, c long").groupBy("word", "kind").agg(F.sum("c").alias("c"))
+    names = [f"p{k}" for k in range(1, PROFILES)]
+    sent = docs.select("_text").mapInArrow(run, "word long, kind int, c long, " + ", ".join(f"{x} long" for x in names))
+    return sent.groupBy("word", "kind").agg(*(F.sum(x).alias(x) for x in ("c", *names)))
 
 
 def start(counts: DataFrame) -> Model:
@@ -269,7 +289,10 @@ def start(counts: DataFrame) -> Model:
     for k, r in per.items():
         kt[k], kd[k] = r["n"], r["v"]
     head = counts.orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
-    return blank(head["word"].to_numpy().view(U), head["kind"].to_numpy(), head["c"].to_numpy(), int(kt.sum()), int(kd.sum()), kt, kd)
+    c = head["c"].to_numpy()
+    rest = np.stack([head[f"p{k}"].to_numpy() for k in range(1, PROFILES)], 1)
+    lean = np.concatenate([(c - rest.sum(1))[:, None], rest], 1).argmax(1) if len(c) else np.zeros(0, np.int64)
+    return blank(head["word"].to_numpy().view(U), head["kind"].to_numpy(), lean, c, int(kt.sum()), int(kd.sum()), kt, kd)
 
 
 def _block(k: int, part: int, weights: np.ndarray, updates: np.ndarray) -> pa.RecordBatch:
