@@ -365,3 +365,13 @@ def test_stages_on_hard_rows(spark):
     assert "hunter" not in secret.text and secret.n_chars == len(secret.text)
     final = p.tokens_stage(spark, docs, FOLDER)
     assert final.count() == len(rows) and p.tokens_stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_most_frequent_words_are_bounded(spark):
+    counts = spark.range(1, 5001).selectExpr("id as word", "0 as kind", "cast(100000 / id as long) as c")
+    for most in (10, 700, 5000, 10_000):
+        rows = maxent.most_frequent(counts, most).collect()
+        assert len(rows) <= most and (most < 5000 or len(rows) == 5000)
+        low = min(r.c for r in rows)
+        assert counts.where(f"c > {low}").count() <= len(rows) == counts.where(f"c >= {low}").count()
+    assert maxent.most_frequent(counts.where("false"), 5).count() == 0
