@@ -275,6 +275,23 @@ def test_suffix_dedup_hard_rows(spark, hard, none):
     assert suffix_dedup.dedup(none).count() == 0
 
 
+def test_suffix_dedup_repeated_rows(spark):
+    """A repeated row of 100 bytes or more is one document: every copy keeps the first occurrence."""
+    r = np.random.default_rng(9)
+    draw = lambda n: "".join(r.choice(list("abcdefgh "), n))
+    a, b = draw(300), draw(250)
+    once = [(-1, a), (1, b), (1, draw(130)), (2, draw(40) + a[50:220]), (3, b)]
+    # a null id comes first, as -1 does here
+    rows = [(None if d < 0 else d, x) for d, x in [*once, *once[:2], once[0]]]
+    got = collections.defaultdict(list)
+    for x in suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), digests=True).collect():
+        got[-1 if x.doc_id is None else x.doc_id].append(tuple(x)[1:])
+    want = brute_dedup([(d, x) for d, x in once if len(x) != 130])
+    alone = (130, 0, 0, hashlib.sha256(once[2][1].encode()).hexdigest())
+    assert got == {-1: [want[-1]] * 3, 1: got[1], 2: [want[2]], 3: [want[3]]}
+    assert sorted(got[1]) == sorted([want[1]] * 2 + [alone]) and want[-1][1] == want[1][1] == 0
+
+
 # near copies
 
 

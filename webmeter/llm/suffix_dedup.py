@@ -321,7 +321,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: boo
     # a hash of the text tells rows of one id apart; without such rows it is left out
     twice = bool(own.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
     own = own.withColumn("h", F.xxhash64("text") if twice else F.lit(0).cast("long"))
-    ranges = removed_ranges(own.select("id", "h", "text"), most).hint("merge")
+    one_each = own.select("id", "h", "text")
+    # a repeated row is the same document, not an earlier one
+    one_each = one_each.dropDuplicates(["id", "h"]) if twice else one_each
+    ranges = removed_ranges(one_each, most).hint("merge")
     met = own.join(ranges, ["id", "h"], "left").select("_id", "text", F.coalesce("ranges", F.array().cast("array<struct<start:int,end:int>>")).alias("ranges"))
     last = "kept_sha256 string" if digests else "kept binary"
     T.scan_conf(spark)
