@@ -182,6 +182,28 @@ def test_fingerprints_hard_rows(spark, hard, none):
     assert alone.near_next == 1.0
 
 
+def near_of(spark, a, b):
+    """(fingerprint of a, fingerprint of b, likeness) of two texts."""
+    x, y = fingerprints.compare(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert x.near_next == y.near_next
+    return x.fingerprint, y.fingerprint, x.near_next
+
+
+def test_fingerprints_of_long_texts(spark):
+    """All anchors count: a short passage shared by long texts shows, and so does one word changed."""
+    r = np.random.default_rng(11)
+    draw = lambda n: [f"w{x}" for x in r.integers(0, 1 << 40, n)]
+    a, b = draw(20_000), draw(20_000)
+    b[9000:9060] = a[100:160]
+    near = near_of(spark, " ".join(a), " ".join(b))[2]
+    assert 40 / 20_000 < near <= 60 / 20_000
+    c = [*a[:7000], "changed", *a[7001:]]
+    one, two, near = near_of(spark, " ".join(a), " ".join(c))
+    assert one != two and 1 - 25 / 20_000 < near < 1
+    repeats = near_of(spark, " ".join(a[:300] * 3), " ".join(a[:300]))[2]
+    assert repeats > 0.9
+
+
 def test_fingerprints_need_no_python(spark):
     plan = queries.op6_fingerprints(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

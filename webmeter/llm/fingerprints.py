@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 K = 6
 S = 2
-KEPT = 128
 SHORT_CHARS = 200
 SHORT_WORDS = 12
 #: Ids of a bucket, and buckets of a group, for finding the next row.
@@ -35,13 +34,17 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _units(text: Column) -> Column:
-    words = F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), "[\\x20\\x09-\\x0D]+")
-    return _let(words, lambda w: F.when((F.char_length(text) < SHORT_CHARS) | (F.size(w) < SHORT_WORDS), F.split(text, "")).otherwise(w))
+def _words(text: Column) -> Column:
+    return F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), "[\\x20\\x09-\\x0D]+")
+
+
+def short(text: Column) -> Column:
+    """Whether the units of a text are its characters."""
+    return (F.char_length(text) < SHORT_CHARS) | (F.size(_words(text)) < SHORT_WORDS)
 
 
 def anchors(text: Column) -> Column:
-    """Array of (place, hash) of the closed syncmers, in order."""
+    """Array of (place, hash, units covered) of the closed syncmers, in order."""
 
     def of(units: Column) -> Column:
         n = F.size(units)
@@ -50,32 +53,54 @@ def anchors(text: Column) -> Column:
         def chosen(h: Column) -> Column:
             at = lambda i, j: F.get(h, i + j)
             edge = lambda i: F.least(at(i, 0), at(i, K - S)) <= F.least(*(at(i, j) for j in range(1, K - S)))
-            return F.transform(F.filter(F.sequence(F.lit(0), n - K), edge), lambda i: F.struct(i.cast("int").alias("place"), F.xxhash64(at(i, 0), at(i, 2), at(i, 4)).alias("hash")))
+            return F.transform(F.filter(F.sequence(F.lit(0), n - K), edge), lambda i: F.struct(i.cast("int").alias("place"), F.xxhash64(at(i, 0), at(i, 2), at(i, 4)).alias("hash"), F.lit(K).alias("units")))
 
-        whole = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(text).alias("hash")))
+        whole = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(text).alias("hash"), n.alias("units")))
         return F.when(n < K, whole).otherwise(_let(pairs, lambda h: _let(chosen(h), lambda c: F.when(F.size(c) > 0, c).otherwise(whole))))
 
-    return _let(_units(text), of)
+    units = F.when(short(text), F.split(text, "")).otherwise(_words(text))
+    return _let(units, of)
+
+
+def shown(own: Column) -> Column:
+    """Anchors as lower-case hexadecimal text: 8 digits of the place and 16 of the hash each."""
+    return F.lower(F.array_join(F.transform(own, lambda a: F.concat(F.lpad(F.hex(a["place"]), 8, "0"), F.lpad(F.hex(a["hash"]), 16, "0"))), ""))
 
 
-def fingerprint(text: Column) -> Column:
-    """Sorted array of the least distinct anchor hashes."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))), 1, KEPT)
+def covered(spots: Column) -> Column:
+    """Number of units that (at, units), in order of ``at``, cover."""
+    start = F.struct(F.lit(-1).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
 
+    def step(state: Column, x: Column) -> Column:
+        end = F.greatest(state["end"], x["at"] + x["units"])
+        return F.struct(end.alias("end"), (state["n"] + end - F.greatest(state["end"], x["at"])).alias("n"))
 
-def shown(print_: Column) -> Column:
-    """A fingerprint as lower-case hexadecimal text."""
-    return F.lower(F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    return F.aggregate(spots, start, step, lambda state: state["n"])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient, 0 to 1, estimated from the least hashes of the union."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT)
-    return _let(union, lambda u: _let(F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.size(u), lambda j: 2 * j / (1 + j)))
+    """Share, 0 to 1, of the covered units of two lists of anchors (in the same unit) under anchors that both have."""
+    # places of the second text lie beyond any of the first
+    spots = lambda x, side: F.transform(x, lambda y: F.struct(y["hash"].alias("hash"), (y["place"] + F.lit(side << 40)).alias("at"), y["units"].cast("long").alias("units")))
+    place = lambda x: F.struct(x["at"].alias("at"), x["units"].alias("units"))
+
+    def of(every: Column) -> Column:
+        n = F.size(every)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(every, i)["hash"] != F.get(every, i - 1)["hash"]))
+
+        def met(s: Column) -> Column:
+            after = lambda k: F.coalesce(F.get(s, k + 1), n)
+            runs = F.transform(s, lambda i, k: F.struct(i.alias("lo"), after(k).alias("hi")))
+            both = F.filter(runs, lambda r: (F.get(every, r["lo"])["at"] < 1 << 40) & (F.get(every, r["hi"] - 1)["at"] >= 1 << 40))
+            return F.sort_array(F.flatten(F.transform(both, lambda r: F.transform(F.slice(every, r["lo"] + 1, r["hi"] - r["lo"]), place))))
+
+        return covered(_let(starts, met)) / covered(F.sort_array(F.transform(every, place)))
+
+    return _let(F.sort_array(F.concat(spots(a, 0), spots(b, 1))), of)
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, text, print, next_text, next_print); the last row's next is the first.
+    """Rows (key, text, next_text); the last row's next is the first.
 
     Rows meet their next one in buckets of ids: one exchange of the texts, a
     window inside each bucket, and for the last row of a bucket a join with the
@@ -91,12 +116,11 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     groups = groups.select("_group", F.coalesce(F.lead("_first").over(all_groups), F.min("_first").over(everything)).alias("_after"))
     following = buckets.withColumn("_next", F.lead("_bucket").over(Window.partitionBy("_group").orderBy("_bucket"))).join(groups, "_group").select("_bucket", F.coalesce("_next", "_after").alias("_next"))
     order = Window.partitionBy("_bucket").orderBy("_id", "_text")
-    rows = own.repartition("_bucket").withColumn("_print", fingerprint(F.col("_text")))
-    rows = rows.select("_id", "_bucket", "_text", "_print", F.lead("_text").over(order).alias("_next_text"), F.lead("_print").over(order).alias("_next_print"))
+    rows = own.repartition("_bucket").select("_id", "_bucket", "_text", F.lead("_text").over(order).alias("_next_text"))
     heads = own.repartition("_bucket").withColumn("_n", F.row_number().over(order)).where("_n = 1").select(F.col("_bucket").alias("_next"), F.col("_text").alias("_head_text"))
-    heads = following.join(heads, "_next").select("_bucket", "_head_text", fingerprint(F.col("_head_text")).alias("_head_print"))
+    heads = following.join(heads, "_next").select("_bucket", "_head_text")
     met = rows.join(heads, "_bucket", "left")
-    return met.select(F.col("_id").alias(key), F.col("_text").alias("text"), F.col("_print").alias("print"), F.coalesce("_next_text", "_head_text").alias("next_text"), F.coalesce("_next_print", "_head_print").alias("next_print"))
+    return met.select(F.col("_id").alias(key), F.col("_text").alias("text"), F.coalesce("_next_text", "_head_text").alias("next_text"))
 
 
 def compare(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -108,7 +132,8 @@ def compare(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     rows = with_next(docs, key, text)
-    rows = rows.select(key, n.cast("long").alias("n_chars"), F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next_text").substr(F.lit(1), half)).alias("edited"), "print", "next_print")
-    rows = rows.select(key, "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "print", fingerprint(F.col("edited")).alias("edited_print"), "next_print")
-    one = _let(F.struct("print", "edited_print", "next_print"), lambda r: F.struct(shown(r["print"]).alias("fingerprint"), shown(r["edited_print"]).alias("edited_fingerprint"), likeness(r["print"], r["edited_print"]).alias("near_edited"), likeness(r["print"], r["next_print"]).alias("near_next")))
-    return rows.select(key, "n_chars", "edited_sha256", one.alias("_r")).select(key, "n_chars", "edited_sha256", "_r.*")
+    rows = rows.select(key, "text", "next_text", n.cast("long").alias("n_chars"), F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next_text").substr(F.lit(1), half)).alias("edited"))
+    text, edited, following = F.col("text"), F.col("edited"), F.col("next_text")
+    made = F.struct(anchors(text).alias("own"), anchors(edited).alias("changed"))
+    one = _let(made, lambda r: F.struct(shown(r["own"]).alias("fingerprint"), shown(r["changed"]).alias("edited_fingerprint"), likeness(r["own"], r["changed"]).alias("near_edited"), _let(anchors(following), lambda x: likeness(r["own"], x)).alias("near_next")))
+    return rows.select(key, "n_chars", F.sha2(edited, 256).alias("edited_sha256"), one.alias("_r")).select(key, "n_chars", "edited_sha256", "_r.*")
