@@ -204,6 +204,14 @@ def test_fingerprints_of_long_texts(spark):
     assert repeats > 0.9
 
 
+def test_fingerprints_across_the_unit_limit(spark):
+    r = np.random.default_rng(12)
+    a = " ".join("".join(r.choice(list("abcdefghij"), 4)) for _ in range(60))
+    assert near_of(spark, a[:195], a[:205])[2] > 0.9
+    got = fingerprints.compare(spark.createDataFrame([(1, a[:300]), (2, "q" * 20)], "doc_id long, text string")).where("doc_id = 1").first()
+    assert got.near_edited > 0.4
+
+
 def test_fingerprints_need_no_python(spark):
     plan = queries.op6_fingerprints(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

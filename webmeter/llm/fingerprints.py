@@ -43,8 +43,8 @@ def short(text: Column) -> Column:
     return (F.char_length(text) < SHORT_CHARS) | (F.size(_words(text)) < SHORT_WORDS)
 
 
-def anchors(text: Column) -> Column:
-    """Array of (place, hash, units covered) of the closed syncmers, in order."""
+def anchors(text: Column, characters: Column | None = None) -> Column:
+    """Array of (place, hash, units covered) of the closed syncmers, in order; in the text's own units, or as ``characters`` says."""
 
     def of(units: Column) -> Column:
         n = F.size(units)
@@ -58,7 +58,7 @@ def anchors(text: Column) -> Column:
         whole = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(text).alias("hash"), n.alias("units")))
         return F.when(n < K, whole).otherwise(_let(pairs, lambda h: _let(chosen(h), lambda c: F.when(F.size(c) > 0, c).otherwise(whole))))
 
-    units = F.when(short(text), F.split(text, "")).otherwise(_words(text))
+    units = F.when(short(text) if characters is None else characters, F.split(text, "")).otherwise(_words(text))
     return _let(units, of)
 
 
@@ -99,6 +99,18 @@ def likeness(a: Column, b: Column) -> Column:
     return _let(F.sort_array(F.concat(spots(a, 0), spots(b, 1))), of)
 
 
+def near(text: Column, own: Column, other: Column, other_own: Column | None = None) -> Column:
+    """Likeness of two texts; ``own`` and ``other_own`` are their anchors in their own units, where at hand."""
+
+    def of(s: Column) -> Column:
+        characters = s["a"] | s["b"]
+        a = F.when(s["a"] == characters, own).otherwise(anchors(text, characters))
+        b = anchors(other, characters) if other_own is None else F.when(s["b"] == characters, other_own).otherwise(anchors(other, characters))
+        return _let(F.struct(a.alias("a"), b.alias("b")), lambda x: likeness(x["a"], x["b"]))
+
+    return _let(F.struct(short(text).alias("a"), short(other).alias("b")), of)
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, text, next_text); the last row's next is the first.
 
@@ -135,5 +147,5 @@ def compare(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = rows.select(key, "text", "next_text", n.cast("long").alias("n_chars"), F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next_text").substr(F.lit(1), half)).alias("edited"))
     text, edited, following = F.col("text"), F.col("edited"), F.col("next_text")
     made = F.struct(anchors(text).alias("own"), anchors(edited).alias("changed"))
-    one = _let(made, lambda r: F.struct(shown(r["own"]).alias("fingerprint"), shown(r["changed"]).alias("edited_fingerprint"), likeness(r["own"], r["changed"]).alias("near_edited"), _let(anchors(following), lambda x: likeness(r["own"], x)).alias("near_next")))
+    one = _let(made, lambda r: F.struct(shown(r["own"]).alias("fingerprint"), shown(r["changed"]).alias("edited_fingerprint"), near(text, r["own"], edited, r["changed"]).alias("near_edited"), near(text, r["own"], following).alias("near_next")))
     return rows.select(key, "n_chars", F.sha2(edited, 256).alias("edited_sha256"), one.alias("_r")).select(key, "n_chars", "edited_sha256", "_r.*")
