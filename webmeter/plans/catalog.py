@@ -232,12 +232,12 @@ def collect_status(spark: SparkSession, d: str) -> DataFrame:
 
 def decode_json(spark: SparkSession, d: str) -> DataFrame:
     got = codec.decode(c("body"))
-    return _bodies(spark, d).where("length(body) < 60000").select("event_id", got["ok"].alias("ok"), F.when(got["ok"], got["id"]).alias("id"))
+    return _bodies(spark, d).select("event_id", got["ok"].alias("ok"), F.when(got["ok"], got["id"]).alias("id"))
 
 
 def decode_strict(spark: SparkSession, d: str) -> DataFrame:
     got = codec.decode(c("body"))
-    return _bodies(spark, d).where("length(body) < 60000").select("event_id", (got["ok"] & ~F.coalesce(codec.unknown_fields(got["fields"]), F.lit(False))).alias("ok"))
+    return _bodies(spark, d).select("event_id", (got["ok"] & ~F.coalesce(codec.unknown_fields(got["fields"]), F.lit(False))).alias("ok"))
 
 
 def collect_stamp(spark: SparkSession, d: str) -> DataFrame:
