@@ -29,6 +29,11 @@ def test_decoders_return_oversized_bodies(spark, name):
     assert long == ({(True, None)} if name == "decode_json" else {(False,)})
 
 
+def test_positions_cover_all_messages(spark):
+    want = oracle._web("SELECT part, greatest(max(off), CASE WHEN part < 5 THEN 20 * part END)::BIGINT AS offset FROM pos GROUP BY part", oracle.OFFSETS)
+    compare.same(catalog.positions_after_batch(spark, FOLDER), want, FOLDER)
+
+
 def test_known_totals(spark):
     """Counts of the derived events at sf0.01."""
     from pyspark.sql import functions as F
