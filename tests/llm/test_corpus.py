@@ -261,6 +261,19 @@ def test_secrets_hard_rows(spark, hard, none):
     assert secret_scan.scan(none, ranks).count() == 0
 
 
+def test_secrets_of_letters_only(spark):
+    """Random letters without a digit are found; words and identifiers are not."""
+    r = np.random.default_rng(10)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(r.choice(list(letters), n)) for letters in (upper + lower, upper, lower) for n in (24, 32) for _ in range(50)]
+    names = ["getUserAccountById", "some_long_identifier_name", "internationalization", "path/to/another/folder", "MAXIMUM_NUMBER_OF_ROWS", "----------------------", "release-2024-10-31"]
+    docs = spark.createDataFrame([(i, f"say {x} now") for i, x in enumerate(keys + names)], "doc_id long, text string")
+    got = {x.doc_id: x.redacted for x in secret_scan.scan(docs, bpe.rank_file(spark, queries.rank_path()), outputs=("redacted",)).collect()}
+    found = [got[i] == "say [SECRET] now" for i in range(len(keys))]
+    assert all(found[:200]) and np.mean(found[200:]) > 0.85
+    assert [got[len(keys) + i] for i in range(len(names))] == [f"say {x} now" for x in names]
+
+
 # repeats
 
 

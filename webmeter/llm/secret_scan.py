@@ -4,7 +4,8 @@ The patterns give the base spans.  The test adds spans of kind ``dense``: runs
 of letters, digits and ``+/_=-`` that a byte-level BPE vocabulary cannot
 compress (few characters a token), which is how random strings differ from
 words.  Known digests, UUIDs, numbers and plain identifiers are excluded
-before, as is a run that lies inside a base span.
+before, as is a run that lies inside a base span.  An identifier's long parts
+must compress like words (more characters a token than random letters have).
 
 Spans are code-point offsets, end exclusive.  Defined cases: a null or empty
 text has no span; a text may have any number of spans; repeated rows are
@@ -43,9 +44,14 @@ _HEXDIGIT = np.zeros(256, bool)
 _HEXDIGIT[[*range(48, 58), *range(97, 103)]] = True
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
+#: Characters a token from which letters of a regular case count as words.
+WORD_RATIO = 1.75
 #: Words and trailing numbers joined by one sign, or camel case: names, not random strings.
 IDENTIFIER = re.compile(r"(?:[A-Za-z]{2,}|[0-9]+)(?:[-_/+=][A-Za-z]{2,}|[-_/+=][0-9]+)*[-_/+=]*|[A-Za-z][a-z]+(?:[A-Z][a-z]+)*[0-9]{0,4}")
 
+LETTERS = re.compile(r"[A-Za-z]+")
+REGULAR = re.compile(r"[A-Z]+|[A-Za-z]?[a-z]+(?:[A-Z][a-z]+)*")
+
 
 def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of member bytes, at least ``least`` long, that do not cross documents."""
@@ -61,9 +67,17 @@ def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int)
     return a[keep], b[keep]
 
 
+def word_like(part: str, vocab: bpe.Vocabulary) -> bool:
+    """Whether letters are of a regular case and, where they are long enough to tell, compress like words."""
+    return bool(REGULAR.fullmatch(part)) and (len(part) < DENSE_LENGTH or len(part) / len(vocab.merge(part.encode())) >= WORD_RATIO)
+
+
 def random_looking(value: str, vocab: bpe.Vocabulary, ratio: float = DENSE_RATIO) -> bool:
     """The token-efficiency test on one run, exclusions first."""
-    if not any(c.isdigit() for c in value) or value.isdigit() or UUID.fullmatch(value) or DIGEST.fullmatch(value) or IDENTIFIER.fullmatch(value):
+    if value.isdigit() or UUID.fullmatch(value) or DIGEST.fullmatch(value) or not any(c.isalnum() for c in value):
+        return False
+    named = IDENTIFIER.fullmatch(value) or not any(c.isdigit() for c in value)
+    if named and all(word_like(p, vocab) for p in LETTERS.findall(value)):
         return False
     return len(value) / len(vocab.merge(value.encode())) < ratio
 
