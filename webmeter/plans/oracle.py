@@ -214,8 +214,8 @@ ORACLE: dict[str, str] = {
     "dead_letters_by_reason": _web(_filled("reason", REASONS, "(SELECT reason FROM named WHERE reason IS NOT NULL)")),
     "dead_letter_raw": _web("SELECT id, md5(cut) AS raw_md5, length(cut)::BIGINT AS n FROM (SELECT id, CASE WHEN length(raw) > 8192 THEN substr(raw, 1, 8192) || '...(truncated)' ELSE raw END AS cut FROM (SELECT id, repeat(user_agent, event_id % 120) AS raw FROM web WHERE copy = 0) a) b"),
     "collect_status": _web(_filled("code", STATUS_CODES, f"(SELECT {_CODE} AS code FROM (SELECT *, event_id % 16 AS m FROM named WHERE copy = 0) x)")),
-    "decode_json": _web("SELECT event_id, m NOT IN (3, 11, 13) AS ok, CASE WHEN m = 7 THEN 'a' WHEN m IN (3, 11, 12, 13) THEN NULL ELSE id END AS id FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x WHERE m <> 9"),
-    "decode_strict": _web("SELECT event_id, m NOT IN (3, 5, 11, 13) AS ok FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x WHERE m <> 9"),
+    "decode_json": _web("SELECT event_id, m NOT IN (3, 11, 13) AS ok, CASE WHEN m = 7 THEN 'a' WHEN m IN (3, 9, 11, 12, 13) THEN NULL ELSE id END AS id FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x"),
+    "decode_strict": _web("SELECT event_id, m NOT IN (3, 5, 9, 11, 13) AS ok FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x"),
     "collect_stamp": _web(f"SELECT id, CASE WHEN user_agent = '' THEN 'header/' || part ELSE user_agent END AS user_agent, '203.0.113.0' AS ip, strftime(received_at, '{_MS}') AS received_at FROM web WHERE copy = 0"),
     "encode_enriched": _web(f"""SELECT id, copy, {_BODY} || ',"browser":"' || browser || '","device":"' || device || '","is_bot":' || is_bot || '}}' AS value FROM enriched"""),
     "decode_enriched": _web("SELECT event_id, m NOT IN (2, 3, 4, 5) AS readable, CASE WHEN m NOT IN (2, 3, 4, 5) THEN id END AS id FROM (SELECT *, event_id % 11 AS m FROM web WHERE copy = 0) x"),
@@ -223,7 +223,7 @@ ORACLE: dict[str, str] = {
     "dedupe_claim": _web("SELECT id, copy, 'enriched-events/' || first_value(part) OVER w || ':' || first_value(off) OVER w AS claimed FROM pos WINDOW w AS (PARTITION BY site_id, id ORDER BY received_at, part, event_id, copy)", OFFSETS),
     "dedupe_first": _web("SELECT site_id, id, copy FROM uniq", UNIQUE),
     "not_yet_applied": _web("SELECT id, copy, part, off AS offset FROM pos WHERE off > CASE WHEN part < 5 THEN 20 * part ELSE -1 END", OFFSETS),
-    "positions_after_batch": _web("SELECT p.part, greatest(p.stored, t.top)::BIGINT AS offset FROM (SELECT range::INT AS part, CASE WHEN range < 5 THEN 20 * range END AS stored FROM range(6)) p LEFT JOIN (SELECT part, max(off) AS top FROM pos WHERE part > 0 AND off < 50 GROUP BY 1) t ON t.part = p.part WHERE p.stored IS NOT NULL OR t.top IS NOT NULL", OFFSETS),
+    "positions_after_batch": _web("SELECT p.part, greatest(p.stored, t.top)::BIGINT AS offset FROM (SELECT range::INT AS part, CASE WHEN range < 5 THEN 20 * range END AS stored FROM range(6)) p LEFT JOIN (SELECT part, max(off) AS top FROM pos GROUP BY 1) t ON t.part = p.part WHERE p.stored IS NOT NULL OR t.top IS NOT NULL", OFFSETS),
     "batch_outcomes": _web(_filled("outcome", OUTCOMES, "outc"), DELIVERIES),
     "route_outputs": _web("SELECT CASE WHEN reason IS NULL THEN 'enriched' ELSE 'dead' END AS output, coalesce(reason, '') AS reason, count(*) AS n FROM named GROUP BY 1, 2"),
     "audit_parse_lines": _web("SELECT off % 17 NOT IN (5, 6, 7) AS readable, count(*) AS n, coalesce(sum(CASE WHEN off % 17 NOT IN (5, 6, 7) THEN off END), 0)::BIGINT AS offsets FROM pos GROUP BY 1", OFFSETS),
