@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from compare import DATA
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from webmeter.operators import audit, counters, dedupe, reports, sessions
-from webmeter.sources import generator, lines
+from webmeter.operators import audit, counters, dedupe, pipeline, reports, sessions
+from webmeter.sources import generator, lines, topics, webevents
 
 c = F.col
 
@@ -164,3 +166,74 @@ def test_generator(spark):
     assert df.exceptAll(generator.events(spark, 20_000, seed=8)).count() > 0
     back = df.where("kind = 'duplicate'").selectExpr("min(seq - source_seq)", "max(seq - source_seq)").first()
     assert back[0] >= 1 and back[1] <= 128
+
+
+def test_reasons_in_order(spark):
+    rows = [(False, ["x"], 9_999_999_999, None), (True, ["x"], 9_999_999_999, None), (True, [], 9_999_999_999, None), (True, [], 0, None), (True, [], 3_600_000_000, "{}")]
+    df = spark.createDataFrame(rows, "ok boolean, p array<string>, late long, value string")
+    got = [r.r for r in df.select(pipeline.reason_of(c("ok"), c("p"), c("late"), c("value")).alias("r")).collect()]
+    assert got == ["invalid_json", "invalid_event", "too_late", "encode_error", None]
+
+
+def test_routed_messages(spark):
+    body = '{"id":"e1","type":"click","site_id":"s","visitor_id":"v","url":"https://e.com/","user_agent":"curl/9","timestamp":"2026-03-01T10:00:00Z","received_at":"2026-03-01T%s:00Z"}'
+    rows = [("raw", 0, i, "k", v) for i, v in enumerate([body % "10:00", body % "11:01", "{oops", None, "{}"])]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, value string").withColumn("now", F.lit("2026-03-01 12:00:00").cast("timestamp"))
+    got = {r.offset: r for r in pipeline.routed(df, "now").collect()}
+    assert [got[i].reason for i in range(5)] == [None, "too_late", "invalid_json", "invalid_json", "invalid_event"]
+    assert got[0].enriched.endswith('"browser":"other","device":"bot","is_bot":true}') and got[1].enriched is None
+    dead = {r.source.offset: r for r in pipeline.dead_letters(pipeline.routed(df, "now"), "now").collect()}
+    assert dead[1].problems == ["event is 1h1m0s late, more than the allowed 1h0m0s"] and dead[3].raw == "" and dead[2].raw == "{oops" and len(dead[4].problems) == 6
+    poison = topics.poison(spark, "raw").withColumn("now", F.lit("2026-03-01 12:00:00").cast("timestamp"))
+    assert sorted(r.reason for r in pipeline.routed(poison, "now").collect()) == ["invalid_event", "invalid_json"]
+
+
+def test_server_columns(spark):
+    df = spark.createDataFrame([("10.0.0.1", "", None), ("x", "agent", "2001-01-01 00:00:00")], "ip string, user_agent string, received_at string").withColumn("received_at", c("received_at").cast("timestamp"))
+    now = F.lit("2026-03-01 12:00:00").cast("timestamp")
+    got = pipeline.stamped(df, now, F.lit("192.0.2.77:9"), F.lit("header")).selectExpr("ip", "user_agent", "cast(received_at as string) as t").collect()
+    assert [tuple(r) for r in got] == [("192.0.2.0", "header", "2026-03-01 12:00:00"), ("192.0.2.0", "agent", "2026-03-01 12:00:00")]
+
+
+def test_offsets_equal_one_window(spark):
+    web = webevents.web_events(spark, f"{DATA}/sf0.001")
+    plain = web.withColumn("want", F.row_number().over(Window.partitionBy("part").orderBy(*webevents.arrival())) - 1)
+    for slice_s in (7, 3600, 10**9):
+        both = webevents.with_offsets(web, slice_s).select("id", "copy", "offset").join(plain, ["id", "copy"])
+        assert both.count() == web.count() and both.where("offset <> want").count() == 0
+
+
+def test_first_and_rest(spark):
+    diff = spark.createDataFrame([(f"b{i:02}", i, 0, 0) for i in range(20)], "bucket_id string, pageviews long, clicks long, bot_events long")
+    got = audit.first_and_rest(diff, 3).collect()
+    assert [(r.bucket_id, r.remaining) for r in got] == [("b00", 17), ("b01", 17), ("b02", 17)]
+    assert [r.remaining for r in audit.first_and_rest(diff.limit(2), 3).collect()] == [0, 0]
+
+
+def test_load_report(spark):
+    rows = [(1, 202, False, 1500), (1, 202, False, 2500), (1, 503, False, 9000), (1, None, False, 1), (1, 202, True, 1), (2, None, False, 5)]
+    df = spark.createDataFrame(rows, "step int, status int, dropped boolean, latency_us long")
+    got = {r.step: r for r in reports.load_summary(df, "step", F.lit(2)).collect()}
+    assert tuple(got[1])[1:] == (5, 1, 1, 1.0, 2500, 9000, 9000, 9000, "202:2 503:1")
+    assert tuple(got[2])[1:] == (1, 0, 1, 0.0, 0, 0, 0, 0, "")
+    line = reports.step_line({x: c(x) for x in ("dropped", "errors", "codes", "p50", "p95", "p99", "max", "accepted_per_s")} | {"rate": c("step")})
+    assert reports.load_summary(df, "step", F.lit(2)).where("step = 1").select(line).first()[0].split() == ["1", "1", "1", "1", "202:2", "503:1", "2.5", "ms", "9.0", "ms", "9.0", "ms", "9.0", "ms"]
+
+
+def test_open_loop(spark):
+    r = random.Random(2)
+    rows = [(r.choice("ab"), r.randrange(1000), i, r.randrange(1, 90)) for i in range(200)]
+    df = spark.createDataFrame(rows, "worker string, at long, seq long, cost long")
+    free, want = {}, {}
+    for w, at, seq, cost in sorted(rows, key=lambda x: (x[1], x[2])):
+        free[w] = max(free.get(w, 0), at) + cost
+        want[seq] = free[w] - at
+    assert {x.seq: x.wait_us for x in reports.open_loop(df, "worker", "at", "cost").collect()} == want
+
+
+def test_batch_metrics(spark):
+    df = spark.createDataFrame([("a", 5, "ok"), ("a", 7, "error"), ("a", 2, "ok")], "consumer string, size long, result string")
+    got = {(r.consumer, r.result): (r.batches, r.messages) for r in reports.batch_metrics(df, ["a", "b"]).collect()}
+    assert got == {("a", "ok"): (2, 7), ("a", "error"): (1, 0), ("b", "ok"): (0, 0), ("b", "error"): (0, 0)}
+    lags = spark.createDataFrame([(0, 4), (0, 9), (1, 2)], "partition int, lag long")
+    assert {r.partition: r.lag for r in reports.top_lag(lags).collect()} == {"0": 9, "1": 2, "all": 9}

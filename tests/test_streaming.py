@@ -13,7 +13,9 @@ from webmeter.operators import counters, pipeline
 from webmeter.plans import catalog
 from webmeter.sources import topics, webevents
 from webmeter.streaming import queries, sinks, stateful
+from webmeter.streaming import progress
 from webmeter.streaming.progress import ProgressLog
+from webmeter.streaming.retry import Cancelled, RetryPolicy
 
 FOLDER = f"{DATA}/sf0.001"
 
@@ -91,6 +93,98 @@ def test_progress_rows(spark):
     finally:
         spark.streams.removeListener(log)
     assert sum(r["size"] for r in log.rows) == webevents.web_events(spark, FOLDER).count()
+    assert sum(log.messages.values()) == sum(r["size"] for r in log.rows)
+    lines = log.exposition().splitlines()
+    assert any('result="error"} 0' in x for x in lines) and any('result="ok"}' in x for x in lines)
+    assert log.frame(spark).count() == len(log.rows)
+
+
+def test_failed_batches_are_counted(spark, tmp_path):
+    """A failed query is an error row; its messages do not count."""
+    log = ProgressLog(kept=3)
+
+    class Event:
+        id, name, exception = "q1", "broken", "boom"
+
+    log.onQueryStarted(Event)
+    log.onQueryTerminated(Event)
+    assert list(log.rows)[0]["result"] == "error" and log.totals == {("broken", "ok"): 0, ("broken", "error"): 1} and log.messages == {"broken": 0}
+    for _ in range(5):
+        log.onQueryTerminated(Event)
+    assert len(log.rows) == 3 and log.totals["broken", "error"] == 6
+
+
+def test_retry():
+    calls = []
+
+    def fails(times):
+        def work():
+            calls.append(1)
+            if len(calls) <= times:
+                raise OSError("down")
+
+        return work
+
+    RetryPolicy(5, 0.001).run("write", fails(3))
+    assert len(calls) == 4
+    calls.clear()
+    with pytest.raises(RuntimeError, match="after 2 attempts"):
+        RetryPolicy(2, 0.001).run("write", fails(9))
+    calls.clear()
+    policy = RetryPolicy(5, 60)
+    policy.cancelled.set()
+    with pytest.raises(Cancelled):
+        policy.run("write", fails(9))
+    assert len(calls) == 1
+
+
+def test_lag_is_kept_on_error(spark):
+    tracker = progress.LagTracker()
+    offsets = spark.createDataFrame([(0, 100, 40), (0, 50, -1)], "first long, end long, committed long")
+
+    def broken():
+        raise OSError("no broker")
+
+    assert tracker.refresh(broken) == 0 and not tracker.healthy
+    assert tracker.refresh(lambda: offsets) == 110 and tracker.healthy
+    assert tracker.refresh(broken) == 110
+
+
+def test_health_and_console(spark):
+    assert progress.runtime(spark)["threads"] > 0 and progress.runtime(spark)["heap_bytes"] > 0
+    rate = spark.readStream.format("rate").load().selectExpr("'t' as topic", "cast(value as string) as key", "'x' as value")
+    before = progress.up(spark)
+    q = topics.log_sink(rate).queryName("printer").start()
+    try:
+        assert progress.up(spark) == before + 1
+        assert ("printer", "ok") in {(r.consumer, r.status) for r in progress.health(spark).collect()}
+    finally:
+        q.stop()
+
+
+def test_replays_leave_the_session_alone():
+    """The state is written for new events only, so that a replay does not refresh its life."""
+    from pyspark.sql import Row
+
+    class Value(dict):
+        writes = 0
+        exists = lambda self: "v" in self
+        get = lambda self: self["v"]
+
+        def update(self, v):
+            self["v"] = v
+            self.writes += 1
+
+    class Answers(dict):
+        containsKey = dict.__contains__  # noqa: N815
+        getValue = dict.__getitem__  # noqa: N815
+        updateValue = dict.__setitem__  # noqa: N815
+
+    p = stateful.SessionProcessor()
+    p.current, p.answers = Value(), Answers()
+    call = lambda *ids: [r.opener for r in p.handleInputRows(("s", "v"), iter([Row(id=i, ts_ms=0, received_us=0, order=n, payload="") for n, i in enumerate(ids)]), None)]
+    assert call("a", "a", "b") == ["a", "a", "a"] and p.current.writes == 1
+    assert call("b", "a") == ["a", "a"] and p.current.writes == 1
 
 
 def test_sessions_with_a_ttl(spark, tmp_path):

@@ -16,35 +16,67 @@ RFC3339 = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d
 _ROOT = r"(?s)^[ \t\r\n]*(\{.*\}|null)[ \t\r\n]*$"
 
 
+#: A flat object of strings and nulls, or null, at the start of a text; what follows is left alone.
+_PAIR = rf"{_STRING}[ \t\r\n]*+:[ \t\r\n]*+(?:{_STRING}|null)[ \t\r\n]*+"
+_FIRST = rf"(?s)^[ \t\r\n]*+(?:null|\{{[ \t\r\n]*+(?:{_PAIR}(?:,[ \t\r\n]*+{_PAIR})*+)?\}})"
+
+
+def _folded(name: Column) -> Column:
+    """Field names are the same in any case."""
+    return F.lower(name)
+
+
+def _values(names: Column, values: Column, field: str) -> Column:
+    """Values of a field, in their order in the text."""
+    return F.transform(F.filter(names, lambda k: _folded(k) == field), lambda k: F.element_at(values, k))
+
+
 def decode(raw: Column) -> dict[str, Column]:
     """Columns ``ok``, ``fields`` and one column a field (times as timestamps) of a raw message.
 
     Not ``ok``: not JSON, another root than an object or null, a known field of
     another type than string or null, or a time that is not RFC 3339.  Trailing
-    text after the value fails too.
+    text after the value fails too.  Names of fields match in any case; of
+    several the last one that is not null counts.  An object that repeats a
+    name letter by letter is not ``ok``.
     """
     v = F.try_parse_json(raw)
     root = F.schema_of_variant(v)
     shaped = v.isNotNull() & raw.rlike(_ROOT) & (root.startswith("OBJECT") | (root == "VOID"))
-    balanced = F.length(F.regexp_replace(F.regexp_replace(raw, _STRING, ""), r"[^{\[]", "")) == F.length(F.regexp_replace(F.regexp_replace(raw, _STRING, ""), r"[^}\]]", ""))
-    single = ~F.regexp_replace(raw, _STRING, "").rlike(r"(?s)\}[^,}\]]*\{")
+    bare = F.regexp_replace(raw, _STRING, "")
+    balanced = F.length(F.regexp_replace(bare, r"[^{\[]", "")) == F.length(F.regexp_replace(bare, r"[^}\]]", ""))
+    single = ~bare.rlike(r"(?s)\}[^,}\]]*\{")
+    names = F.when(root.startswith("OBJECT"), F.json_object_keys(raw))
+    values = v.try_cast("map<string,variant>")
     out: dict[str, Column] = {}
     good = [shaped, balanced, single]
     for f in RAW_FIELDS:
-        kind = F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
-        text = F.try_variant_get(v, f"$.{f}", "string")
-        good.append(kind.isNull() | kind.isin("STRING", "VOID"))
+        own = _values(names, values, f)
+        good.append(own.isNull() | F.forall(own, lambda x: F.coalesce(F.schema_of_variant(x).isin("STRING", "VOID"), F.lit(True))))
+        texts = F.filter(F.transform(own, lambda x: x.try_cast("string")), lambda x: x.isNotNull())
+        text = F.get(texts, F.size(texts) - 1)
         if f in TIME_FIELDS:
             good.append(text.isNull() | (text.rlike(RFC3339) & F.try_to_timestamp(text).isNotNull()))
             out[f] = F.when(text.rlike(RFC3339), F.try_to_timestamp(text))
         else:
             out[f] = text
-    return {"ok": F.coalesce(reduce(and_, good), F.lit(False)), "fields": F.when(root.startswith("OBJECT"), F.json_object_keys(raw)), **out}
+    return {"ok": F.coalesce(reduce(and_, good), F.lit(False)), "fields": names, **out}
+
+
+def decode_strict(raw: Column) -> dict[str, Column]:
+    """Like ``decode``, of the first value of a text alone; not ``ok`` too if a field is unknown.
+
+    All known fields are strings, so a first value that can be accepted is a
+    flat object of strings and nulls, or null.
+    """
+    first = F.regexp_extract(raw, _FIRST, 0)
+    got = decode(F.when(first == "", F.lit(None)).otherwise(first))
+    return got | {"ok": got["ok"] & ~F.coalesce(unknown_fields(got["fields"]), F.lit(False))}
 
 
 def unknown_fields(fields: Column) -> Column:
     """Fields that the strict decoder refuses."""
-    return F.size(F.array_except(fields, F.array(*(F.lit(f) for f in RAW_FIELDS)))) > 0
+    return F.size(F.array_except(F.transform(fields, _folded), F.array(*(F.lit(f) for f in RAW_FIELDS)))) > 0
 
 
 def encode(columns: list[Column]) -> Column:

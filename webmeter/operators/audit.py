@@ -25,6 +25,17 @@ def bucket_diff(stored: DataFrame, unique: DataFrame) -> DataFrame:
     return both.where(" or ".join(f"{c} <> 0" for c in TOTALS))
 
 
+def of_sites(rows: DataFrame, prefix: str) -> DataFrame:
+    """Rows of the sites with a prefix: of events, or of counters by the site in their bucket id (pushed to the scan)."""
+    return rows.where(F.col("site_id" if "site_id" in rows.columns else "bucket_id").startswith(prefix))
+
+
+def first_and_rest(diff: DataFrame, show: int = 15) -> DataFrame:
+    """The first ``show`` differing buckets in order, each with the number of buckets that are not shown."""
+    hidden = diff.agg(F.greatest(F.count(F.lit(1)) - show, F.lit(0)).alias("n")).scalar()
+    return diff.orderBy("bucket_id").limit(show).withColumn("remaining", hidden)
+
+
 def verdict(expected: list[Column], unique: list[Column], stored: list[Column]) -> Column:
     same = lambda x, y: F.forall(F.arrays_zip(F.array(*x).alias("a"), F.array(*y).alias("b")), lambda p: p["a"] == p["b"])
     return F.when(same(unique, expected) & same(stored, unique), "consistent").when(~same(unique, expected) & same(stored, unique), "upstream").when(~same(unique, expected), "upstream_and_aggregation").otherwise("aggregation")

@@ -76,6 +76,71 @@ def codes_text(counts: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(counts), lambda c: F.concat_ws(":", c["code"].cast("string"), c["n"].cast("string"))), " ")
 
 
+def ms_text(micros: Column) -> Column:
+    """Microseconds as ``12.3 ms``."""
+    return F.format_string("%.1f ms", micros / 1000.0)
+
+
+def step_line(row: dict[str, Column]) -> Column:
+    """One line of the table of steps, columns aligned to the right."""
+    cells = [row["rate"].cast("string"), F.format_string("%.0f", row["accepted_per_s"]), row["dropped"].cast("string"), row["errors"].cast("string"), row["codes"], *(ms_text(row[p]) for p in ("p50", "p95", "p99", "max"))]
+    widths = [8, 10, 8, 8, 28, 12, 12, 12, 12]
+    return F.concat(*(F.lpad(x, w, " ") for x, w in zip(cells, widths, strict=True)))
+
+
+def load_summary(requests: DataFrame, step: str, seconds: Column, latency: str = "latency_us") -> DataFrame:
+    """Scheduled, dropped and failed requests, codes, accepted a second and latency percentiles of each step.
+
+    Needs status (null: no answer) and dropped; a dropped request was never
+    sent and has no latency.  A step without answers has percentiles of 0.
+    """
+    p = upper_rank_percentile
+    sent = ~F.col("dropped")
+    timed = requests.withColumn("_us", F.when(sent & F.col("status").isNotNull(), F.col(latency)))
+    per_code = timed.groupBy(step, "status").agg(F.count(F.lit(1)).alias("_n"), F.count_if(sent).alias("_sent")).groupBy(step).agg(codes_text(F.collect_list(F.when(F.col("status").isNotNull() & (F.col("_sent") > 0), F.struct(F.col("status").alias("code"), F.col("_sent").alias("n"))))).alias("codes"))
+    main = timed.groupBy(step).agg(
+        F.count(F.lit(1)).alias("scheduled"),
+        F.count_if("dropped").alias("dropped"),
+        F.count_if(sent & F.col("status").isNull()).alias("errors"),
+        (F.count_if(sent & (F.col("status") == 202)) / F.max(seconds)).alias("accepted_per_s"),
+        *(p("_us", q).cast("long").alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))),
+        F.coalesce(F.max("_us"), F.lit(0)).cast("long").alias("max"),
+    )
+    return main.join(per_code, step)
+
+
+def open_loop(requests: DataFrame, worker: str, intended: str, service: str) -> DataFrame:
+    """Adds ``done_us`` and ``wait_us`` of requests served one after the other by their worker.
+
+    A request starts at its intended time or when the one before it is done,
+    so that latency counts from the intended time: done = S + max(A - S before)
+    with S the running sum of the services, two windows over one partitioning.
+    """
+    order = Window.partitionBy(worker).orderBy(intended, "seq")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = requests.withColumn("_sum", F.sum(service).over(upto))
+    rows = rows.withColumn("done_us", F.col("_sum") + F.max(F.col(intended) - (F.col("_sum") - F.col(service))).over(upto))
+    return rows.withColumn("wait_us", F.col("done_us") - F.col(intended)).drop("_sum")
+
+
+def batch_metrics(batches: DataFrame, consumers: list[str]) -> DataFrame:
+    """Batches by consumer and result, and messages of the batches that succeeded; zeros where nothing happened.
+
+    Batches: consumer, size, result (ok or error).
+    """
+    spark = batches.sparkSession
+    counted = batches.groupBy("consumer", "result").agg(F.count(F.lit(1)).alias("_batches"), F.sum("size").alias("_size"))
+    series = spark.createDataFrame([(x, r) for x in consumers for r in ("ok", "error")], "consumer string, result string")
+    zero = F.lit(0).cast("long")
+    return series.join(counted, ["consumer", "result"], "left").select("consumer", "result", F.coalesce("_batches", zero).alias("batches"), F.when(F.col("result") == "ok", F.coalesce("_size", zero)).otherwise(zero).alias("messages"))
+
+
+def top_lag(lags: DataFrame, by: str = "partition") -> DataFrame:
+    """The largest lag by ``by``, and over all of them (``all``)."""
+    one = lags.groupBy(F.col(by).cast("string").alias(by)).agg(F.max("lag").alias("lag"))
+    return one.unionByName(lags.agg(F.max("lag").alias("lag")).select(F.lit("all").alias(by), "lag"))
+
+
 def verify_verdict(want: dict[str, Column], got: dict[str, Column], stable: Column, timed_out: Column) -> Column:
     """ok, double_count, loss, timeout or wait: the first that holds."""
     equal = over = None

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import agents, codec, keys, net, validation
 from ..operators import audit, counters, dedupe, pipeline, reports, sessions
-from ..sources import generator, lines, webevents
+from ..schema import MAX_BODY_BYTES, OUTCOMES, REASONS, STATUS_CODES
+from ..sources import generator, lines, topics, webevents
 from ..streaming import queries as streams
-from ..schema import OUTCOMES, REASONS, STATUS_CODES
+from ..streaming import sinks
 
 c = F.col
 TEXT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
@@ -142,11 +143,18 @@ def ua_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ip_anonymize(spark: SparkSession, d: str) -> DataFrame:
-    """Client address from host:port, truncated; a tenth are IPv6, some unreadable."""
+    """Client address from host:port, truncated; some are IPv6 (mapped, with a zone), some unreadable."""
     e, u = c("event_id"), c("user_id")
-    v4 = F.concat(F.lit("203."), u % 256, F.lit("."), e % 256, F.lit("."), e * 7 % 256, F.lit(":443"))
-    v6 = F.concat(F.lit("[2001:db8:"), F.lower(F.hex(e % 4000 + 1)), F.lit(":8d3:1319:8a2e:370:7348]:80"))
-    remote = F.when(e % 10 == 3, v6).when(e % 10 == 4, F.lit("not-an-ip")).otherwise(v4)
+    v4 = F.concat(F.lit("198."), u % 256, F.lit("."), e % 256, F.lit("."), e * 7 % 256, F.lit(":443"))
+    hexed = F.lower(F.hex(e % 4000 + 1))
+    remote = (
+        F.when(e % 10 == 3, F.concat(F.lit("[2001:db8:"), hexed, F.lit(":1a:2b:3c:4d:5e]:80")))
+        .when(e % 10 == 4, F.lit("no address"))
+        .when(e % 10 == 5, F.concat(F.lit("[::ffff:192.0.2."), e % 256, F.lit("]:81")))
+        .when(e % 10 == 6, F.concat(F.lit("[fe80::"), hexed, F.lit("%lan]:82")))
+        .when(e % 10 == 7, F.concat(F.lit("["), hexed, F.lit("::1::2]:83")))
+        .otherwise(v4)
+    )
     return _web(spark, d).where("copy = 0").select("id", net.anonymize(net.host(remote)).alias("ip"))
 
 
@@ -168,7 +176,7 @@ def _mutated(spark: SparkSession, d: str) -> DataFrame:
         blank(3, "site_id").alias("site_id"),
         blank(4, "visitor_id").alias("visitor_id"),
         "type",
-        F.when(m == 5, "").when(m == 6, "/produits").when(m == 7, "javascript:alert(1)").when(m == 8, F.concat(F.lit("https://e.com/"), F.repeat(F.lit("y"), 2100))).when(m == 9, "http://:80").otherwise(c("url")).alias("url"),
+        F.when(m == 5, "").when(m == 6, "/page/7").when(m == 7, "ftp://files.example/x").when(m == 8, F.concat(F.lit("https://e.com/"), F.repeat(F.lit("y"), 2100))).when(m == 9, "http://:80").otherwise(c("url")).alias("url"),
         F.when(m == 10, F.lit(None)).otherwise(c("ts")).alias("ts"),
         "received_at",
     )
@@ -183,13 +191,41 @@ def too_late(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.judged(_web(spark, d)).where("reason = 'too_late'").select("id", "copy", (c("late_us") / 1_000_000).cast("long").alias("late_s"))
 
 
+def _messages(spark: SparkSession, d: str, offsets: bool = True) -> DataFrame:
+    """Raw messages: JSON of every event, with defects by event_id modulo 23, and two poison messages."""
+    rows = _web(spark, d)
+    rows = webevents.with_offsets(rows) if offsets else rows.withColumn("offset", F.lit(0).cast("long"))
+    good = pipeline.encoded(["id", "type", "site_id", "visitor_id", "url", "user_agent", "ts", "received_at"], ["ts", "received_at"])
+    m = c("event_id") % 23
+    value = (
+        F.when(m == 2, "{oops")
+        .when(m == 5, "[1,2,3]")
+        .when(m == 7, "")
+        .when(m == 11, "{}")
+        .when(m == 13, "null")
+        .when(m == 17, F.concat(F.lit("{"), F.repeat(F.lit("w"), 9000)))
+        .when(m == 19, F.concat(F.lit('{"extra":[1,{"a":2}],'), F.expr("substring(g, 2)")))
+        .when(m == 21, F.concat(c("g"), F.lit(" tail")))
+        .otherwise(c("g"))
+    )
+    rows = rows.withColumn("g", good).select(F.lit("raw-events").alias("topic"), c("part").alias("partition"), "offset", keys.partition_key(c("site_id"), c("visitor_id")).alias("key"), value.alias("value"), c("received_at").alias("now"))
+    return rows.unionByName(topics.poison(spark, "raw-events").withColumn("now", F.lit("2024-01-01 00:00:00").cast("timestamp")))
+
+
 def dead_letters(spark: SparkSession, d: str) -> DataFrame:
-    rows = pipeline.dead_letters(webevents.with_offsets(_web(spark, d)))
-    return rows.select("reason", F.array_join("problems", "; ").alias("problems"), "id", c("part").alias("partition"), c("offset").cast("long").alias("offset"))
+    rows = pipeline.dead_letters(pipeline.routed(_messages(spark, d), "now"), "now")
+    return rows.select("reason", F.array_join("problems", "; ").alias("problems"), F.md5("raw").alias("raw_md5"), "source.topic", "source.partition", "source.offset", F.date_format("failed_at", TEXT_TIME).alias("failed_at"))
 
 
 def dead_letters_by_reason(spark: SparkSession, d: str) -> DataFrame:
-    return reports.zero_filled(pipeline.judged(_web(spark, d)).where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n")), "reason", REASONS)
+    rows = pipeline.routed(_messages(spark, d, offsets=False), "now")
+    return reports.zero_filled(rows.where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n")), "reason", REASONS)
+
+
+def process_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Messages to publish after processing: topic, key and digest of the value."""
+    rows = pipeline.routed(_messages(spark, d), "now").where("reason is null")
+    return rows.select(F.lit("enriched-events").alias("topic"), "key", "partition", "offset", F.md5("enriched").alias("value_md5"))
 
 
 def dead_letter_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -205,6 +241,8 @@ def _bodies(spark: SparkSession, d: str) -> DataFrame:
     good = codec.encode([c("id"), c("type"), c("site_id"), c("visitor_id"), c("url"), F.nullif("user_agent", F.lit("")).alias("user_agent"), time.alias("timestamp")])
     body = (
         F.when(m == 3, "{oops")
+        .when(m == 2, F.concat(c("g"), F.lit(" tail")))
+        .when(m == 4, F.replace(c("g"), F.lit('"site_id"'), F.lit('"Site_ID"')))
         .when(m == 5, F.concat(F.substring(good, 1, 1), F.lit('"extra":1,'), F.expr("substring(g, 2)")))
         .when(m == 7, F.lit('{"id":"a"}'))
         .when(m == 9, F.concat(F.lit('{"pad":"'), F.repeat(F.lit("z"), 66000), F.lit('"}')))
@@ -218,11 +256,12 @@ def _bodies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, d: str) -> DataFrame:
-    rows = _bodies(spark, d)
-    got = codec.decode(c("body"))
-    rows = rows.select("event_id", "received_at", "body", got["ok"].alias("ok"), got["fields"].alias("fields"), F.struct(*(got[f].alias(f) for f in ("id", "site_id", "visitor_id", "type", "url", "timestamp"))).alias("e"))
+    """Status of each request; publishing fails for some that are valid."""
+    got = codec.decode_strict(c("body"))
+    rows = _bodies(spark, d).select("event_id", "received_at", "body", got["ok"].alias("ok"), F.struct(*(got[f].alias(f) for f in ("id", "site_id", "visitor_id", "type", "url", "timestamp"))).alias("e"))
     found = validation.problems(c("e.id"), c("e.site_id"), c("e.visitor_id"), c("e.type"), c("e.url"), c("e.timestamp"), c("received_at"))
-    code = F.when(F.octet_length("body") > 65536, 413).when(~c("ok") | F.coalesce(codec.unknown_fields(c("fields")), F.lit(False)), 400).when(F.size(found) > 0, 422).otherwise(202)
+    published = c("event_id") % 50 != 21
+    code = F.when(F.octet_length("body") > MAX_BODY_BYTES, 413).when(~c("ok"), 400).when(F.size(found) > 0, 422).when(~published, 503).otherwise(202)
     return rows.select("event_id", code.alias("code"))
 
 
@@ -232,18 +271,22 @@ def collect_status(spark: SparkSession, d: str) -> DataFrame:
 
 def decode_json(spark: SparkSession, d: str) -> DataFrame:
     got = codec.decode(c("body"))
-    return _bodies(spark, d).select("event_id", got["ok"].alias("ok"), F.when(got["ok"], got["id"]).alias("id"))
+    return _bodies(spark, d).select("event_id", got["ok"].alias("ok"), F.when(got["ok"], got["id"]).alias("id"), F.when(got["ok"], got["site_id"]).alias("site_id"))
 
 
 def decode_strict(spark: SparkSession, d: str) -> DataFrame:
-    got = codec.decode(c("body"))
-    return _bodies(spark, d).select("event_id", (got["ok"] & ~F.coalesce(codec.unknown_fields(got["fields"]), F.lit(False))).alias("ok"))
+    return _bodies(spark, d).select("event_id", codec.decode_strict(c("body"))["ok"].alias("ok"))
 
 
 def collect_stamp(spark: SparkSession, d: str) -> DataFrame:
-    """Server-owned columns: the address and time are overwritten, an empty agent is taken from the header."""
-    agent = F.coalesce(F.nullif("user_agent", F.lit("")), F.concat(F.lit("header/"), c("part")))
-    return _web(spark, d).where("copy = 0").select("id", agent.alias("user_agent"), F.lit("203.0.113.0").alias("ip"), F.date_format("received_at", TEXT_TIME).alias("received_at"))
+    """Server-owned columns: a client's address and time are overwritten, an empty agent is taken from the header."""
+    sent = codec.encode([c("id"), F.nullif("user_agent", F.lit("")).alias("user_agent"), F.lit("10.9.8.7").alias("ip"), F.lit("2001-02-03T04:05:06Z").alias("received_at")])
+    got = codec.decode_strict(c("body"))
+    rows = _web(spark, d).where("copy = 0").select("event_id", "user_id", "part", c("received_at").alias("now"), sent.alias("body"))
+    rows = rows.select("event_id", "user_id", "part", "now", *(got[f].alias(f) for f in ("id", "user_agent", "ip", "received_at"))).withColumn("sent_ip", c("ip"))
+    remote = F.concat(F.lit("198.51."), c("user_id") % 256, F.lit("."), c("event_id") % 256, F.lit(":8080"))
+    out = pipeline.stamped(rows, c("now"), remote, F.concat(F.lit("header/"), c("part")))
+    return out.select("id", "user_agent", "sent_ip", "ip", F.date_format("received_at", TEXT_TIME).alias("received_at"))
 
 
 def encode_enriched(spark: SparkSession, d: str) -> DataFrame:
@@ -449,8 +492,10 @@ def pipeline_reason():
 
 
 def _freshness(spark: SparkSession, d: str) -> DataFrame:
-    """Seconds from reception to the write of counted events (the write time is derived)."""
-    return _unique(spark, d).select("site_id", ((c("event_id") * 7919 % 4000 + 5) / 1000.0).alias("seconds"))
+    """Seconds from reception to the write of counted events; events without a time of reception are not measured."""
+    rows = _unique(spark, d).withColumn("written_at", F.timestamp_micros(F.unix_micros("received_at") + (c("event_id") * 7919 % 4000 + 5) * 1000))
+    rows = rows.withColumn("received_at", F.when(c("event_id") % 9 != 4, c("received_at")))
+    return rows.where("received_at is not null").select("site_id", ((F.unix_micros("written_at") - F.unix_micros("received_at")) / 1e6).alias("seconds"))
 
 
 FRESHNESS_BOUNDS = reports.exponential_bounds(0.005, 17)
@@ -477,13 +522,139 @@ def mean_batch_size(spark: SparkSession, d: str) -> DataFrame:
     return batches.groupBy(c("part").alias("consumer")).agg(F.count(F.lit(1)).alias("batches"), F.round(F.sum("size") / F.count(F.lit(1)), 6).alias("mean_size"))
 
 
-def consumer_lag(spark: SparkSession, d: str) -> DataFrame:
+def _lags(spark: SparkSession, d: str) -> DataFrame:
     rows = webevents.with_offsets(_web(spark, d)).groupBy("part").agg(F.min("offset").cast("long").alias("first"), (F.max("offset") + 1).cast("long").alias("end"))
     rows = rows.withColumn("committed", F.when(c("part") == 0, F.lit(-1)).when(c("part") == 1, c("end") + 5).otherwise(c("end") - c("part") * 10).cast("long"))
-    per = reports.lag(rows).select(c("part").cast("string").alias("partition"), "lag")
+    return reports.lag(rows)
+
+
+def consumer_lag(spark: SparkSession, d: str) -> DataFrame:
+    per = _lags(spark, d).select(c("part").cast("string").alias("partition"), "lag")
     return per.unionByName(per.agg(F.sum("lag").alias("lag")).select(F.lit("total").alias("partition"), "lag"))
 
 
+def max_lag(spark: SparkSession, d: str) -> DataFrame:
+    """Largest lag of each consumer (two partitions each) and of all."""
+    return reports.top_lag(_lags(spark, d).withColumn("consumer", F.floor(c("part") / 2).cast("int")), "consumer")
+
+
+# batches
+
+
+def _batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of up to 200 messages of a partition, with derived durations; some of them failed."""
+    rows = webevents.with_offsets(_web(spark, d)).groupBy("part", F.floor(c("offset") / 200).alias("batch")).agg(F.count(F.lit(1)).alias("size"), F.min("received_at").alias("started"))
+    mixed = c("size") * 13 + c("batch") * 37 + c("part") * 101
+    failed = (c("batch") * 7 + c("part")) % 11 == 3
+    return rows.select(c("part").cast("string").alias("consumer"), "batch", "size", "started", F.when(failed, "error").otherwise("ok").alias("result"), (mixed % 900 + 1).alias("duration_ms"), (mixed % 40 + 1).alias("publish_ms"), (mixed % 70 + 1).alias("store_ms"))
+
+
+def batch_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return reports.batch_metrics(_batches(spark, d), [str(p) for p in range(webevents.PARTITIONS)])
+
+
+def batch_size_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return reports.histogram(_batches(spark, d), "size", reports.exponential_bounds(1, 9), ["consumer"]).select("consumer", c("i").cast("int").alias("i"), "n")
+
+
+MS_BOUNDS = reports.exponential_bounds(0.001, 14)
+
+
+def batch_duration_p99(spark: SparkSession, d: str) -> DataFrame:
+    h = reports.histogram(_batches(spark, d).withColumn("s", c("duration_ms") / 1000.0), "s", MS_BOUNDS, ["consumer"])
+    return reports.histogram_quantile(h, 0.99, ["consumer"]).select("consumer", F.round("value", 6).alias("p99"))
+
+
+def latency_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Estimated p50 and p99, in seconds, of requests, publishing and storing."""
+    done = _batches(spark, d).where("result = 'ok'").select(F.inline(F.array(*(F.struct(F.lit(w).alias("what"), (c(f"{w}_ms") / 1000.0).alias("s")) for w in ("publish", "store")))))
+    asked = _requests(spark, d).select(F.lit("request").alias("what"), (c("latency_us") / 1e6).alias("s"))
+    h = reports.histogram(done.unionByName(asked), "s", MS_BOUNDS, ["what"])
+    out = [reports.histogram_quantile(h, q, ["what"]).select("what", F.lit(q).alias("q"), F.round("value", 6).alias("seconds")) for q in (0.5, 0.99)]
+    return out[0].unionByName(out[1])
+
+
+def rate_batch_errors(spark: SparkSession, d: str) -> DataFrame:
+    return reports.rate_per_second(_batches(spark, d).where("result = 'error'"), "started", ["consumer"], 300)
+
+
+# load
+
+
+STEP_SECONDS = 61
+
+
+def _load(spark: SparkSession, d: str) -> DataFrame:
+    """Requests of the load steps: some dropped by the client, some without an answer."""
+    e = c("event_id")
+    return _requests(spark, d).select(
+        c("part").alias("step"),
+        F.when(e % 101 != 7, c("status")).alias("status"),
+        (e % 97 == 5).alias("dropped"),
+        (e * 7919 % 9973 * 10 + 3).alias("latency_us"),
+        F.unix_micros("received_at").alias("intended_us"),
+        (e * 2 + c("copy")).alias("seq"),
+        F.concat_ws("/", c("part").cast("string"), (c("user_id") % 4).cast("string")).alias("worker"),
+    )
+
+
+def load_summary(spark: SparkSession, d: str) -> DataFrame:
+    return reports.load_summary(_load(spark, d), "step", F.lit(STEP_SECONDS))
+
+
+def step_table(spark: SparkSession, d: str) -> DataFrame:
+    """The load report as lines of text, one a step."""
+    rows = load_summary(spark, d)
+    cells = {x: c(x) for x in rows.columns} | {"rate": (c("step") + 1) * 1000}
+    return rows.select("step", reports.step_line(cells).alias("line"))
+
+
+def open_loop_latency(spark: SparkSession, d: str) -> DataFrame:
+    """Latency from the intended time of requests that wait for their worker."""
+    p = reports.upper_rank_percentile
+    rows = reports.open_loop(_load(spark, d).where("not dropped"), "worker", "intended_us", "latency_us")
+    return rows.groupBy("step").agg(p("wait_us", 0.5).cast("long").alias("p50"), p("wait_us", 0.99).cast("long").alias("p99"), F.max("wait_us").cast("long").alias("max"))
+
+
+def key_order(spark: SparkSession, d: str) -> DataFrame:
+    """For every message the one before it of the same visitor, from rows taken one after the other."""
+    rows = webevents.with_offsets(_enriched(spark, d)).select("site_id", "visitor_id", "part", "offset", "id", "copy")
+
+    def before(batches):
+        last, name = None, None
+        for b in batches:
+            key = b["site_id"] + "/" + b["visitor_id"]
+            prev, same = b["id"].shift(1), key.eq(key.shift(1))
+            if len(b):
+                prev.iloc[0], same.iloc[0] = name, key.iloc[0] == last
+                last, name = key.iloc[-1], b["id"].iloc[-1]
+            yield b.assign(previous=prev.where(same, "").fillna(""))[["id", "copy", "previous"]]
+
+    return pipeline.in_key_order(rows, ["site_id", "visitor_id"], ["part", "offset"]).mapInPandas(before, "id string, copy int, previous string")
+
+
+# stored counters
+
+
+def latest_minutes_of_site(spark: SparkSession, d: str) -> DataFrame:
+    """Latest minutes of a site, from counters stored by site and minute."""
+    folder = topics.shared_folder(spark)
+    sinks.store_by_site(counters.minute_counters(_unique(spark, d).withColumn("new_session", F.lit(False))), folder)
+    return sinks.latest_of_site(spark, folder, "site-1").select("bucket_id", "pageviews", "clicks", "bot_events")
+
+
+def audit_diff_of_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Differing buckets of the sites with a prefix; both sides are filtered before they meet."""
+    events = audit.of_sites(_unique(spark, d), "site-1").withColumn("new_session", F.lit(False))
+    unique = counters.minute_counters(events).select("bucket_id", *audit.TOTALS)
+    return audit.bucket_diff(audit.of_sites(_stored(audit_totals(spark, d)), "site-1"), unique)
+
+
+def audit_first_diffs(spark: SparkSession, d: str) -> DataFrame:
+    unique = audit_totals(spark, d)
+    return audit.first_and_rest(audit.bucket_diff(_stored(unique), unique)).select("bucket_id", *audit.TOTALS, "remaining")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -495,6 +666,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         audit_parse_lines, audit_copies, audit_totals, audit_bucket_diff, audit_copies_in_diff, audit_verdict,
         expected_totals, latency_percentiles, step_codes, verify_verdict, gen_mix_counts,
         rate_accepted, rate_by_code, rate_dead_letters, rate_outcomes, rate_consumer, freshness_histogram, freshness_quantiles, histogram_quantile, mean_batch_size, consumer_lag,
+        process_messages, max_lag, batch_metrics, batch_size_histogram, batch_duration_p99, latency_quantiles, rate_batch_errors, load_summary, step_table, open_loop_latency, key_order,
+        latest_minutes_of_site, audit_diff_of_sites, audit_first_diffs, streams.topic_scan,
         streams.stream_scan, streams.stream_minute_counters, streams.stream_sessions,
     )
 }

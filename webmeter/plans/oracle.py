@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.agents import BOT_FRAGMENTS, BROWSER_RULES
 from ..operators.reports import exponential_bounds
-from ..schema import BROWSERS, DEVICES, OUTCOMES, REASONS, STATUS_CODES
 from ..sources.generator import Mix
 from ..sources.webevents import AGENTS
 
@@ -13,11 +11,14 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _any(column: str, fragments: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({column}, {_q(f)})" for f in fragments) + ")"
-
-
-_BROWSER = " ".join(f"WHEN {_any('low', f)} THEN '{n}'" for n, f in BROWSER_RULES)
+# expected values, written by hand: browser, device and bot of each agent in turn, and the listed values
+_BROWSERS = "['chrome', 'edge', 'firefox', 'safari', 'safari', 'chrome', 'chrome', 'other', 'other', 'other', 'other', 'other']"
+_DEVICES = "['desktop', 'desktop', 'desktop', 'mobile', 'tablet', 'mobile', 'tablet', 'bot', 'bot', 'bot', 'bot', 'desktop']"
+DEVICES = ["desktop", "mobile", "tablet"]
+BROWSERS = ["chrome", "firefox", "safari", "edge", "opera"]
+REASONS = ["invalid_json", "invalid_event", "too_late", "encode_error"]
+OUTCOMES = ["counted", "duplicate", "redelivered", "replayed", "skipped"]
+STATUS_CODES = [202, 400, 413, 422, 503]
 _LIST = lambda xs: ", ".join(_q(x) for x in xs)
 _MINUTE = "site_id || '|' || strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%MZ')"
 _MS = "%Y-%m-%dT%H:%M:%S.%g"
@@ -31,20 +32,18 @@ src AS (
   SELECT 'evt-' || event_id AS id,
     CASE WHEN event_type IN ('view', 'signup') THEN 'pageview' WHEN event_type IN ('click', 'purchase') THEN 'click' ELSE event_type END AS type,
     'site-' || (k % 3) AS site_id, 'v-' || user_id AS visitor_id, 'https://example.com/page-' || (event_id % 50) AS url,
-    [{_LIST(AGENTS)}][(ua_idx + 1)::INT] AS user_agent, ts, ts + to_seconds(late_by + copy * 60) AS received_at, (user_id % 6)::INT AS part, copy, event_id, user_id
+    [{_LIST(AGENTS)}][(ua_idx + 1)::INT] AS user_agent, ts, ts + to_seconds(late_by + copy * 60) AS received_at, (user_id % 6)::INT AS part, copy, event_id, user_id, (ua_idx + 1)::INT AS agent
   FROM src JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR event_id % 50 = 7
 ), judged0 AS (
-  SELECT *, lower(trim(user_agent)) AS low, (type NOT IN ('pageview', 'click')) AS bad_type, (ts > received_at + INTERVAL 300 SECONDS) AS future,
+  SELECT *, (type NOT IN ('pageview', 'click')) AS bad_type, (ts > received_at + INTERVAL 300 SECONDS) AS future,
     epoch_us(received_at) - epoch_us(ts) AS late_us
   FROM web
 ), judged AS (
   SELECT *, CASE WHEN bad_type OR future THEN 'invalid_event' WHEN late_us > 3600000000 THEN 'too_late' END AS reason,
-    (low = '' OR {_any('low', BOT_FRAGMENTS)}) AS is_bot
+    agent IN (8, 9, 10, 11) AS is_bot
   FROM judged0
 ), named AS (
-  SELECT *, CASE WHEN is_bot THEN 'other' {_BROWSER} ELSE 'other' END AS browser,
-    CASE WHEN is_bot THEN 'bot' WHEN {_any('low', ['ipad', 'tablet'])} THEN 'tablet' WHEN contains(low, 'android') AND NOT contains(low, 'mobile') THEN 'tablet'
-      WHEN {_any('low', ['mobile', 'iphone', 'android'])} THEN 'mobile' ELSE 'desktop' END AS device
+  SELECT *, {_BROWSERS}[agent] AS browser, {_DEVICES}[agent] AS device
   FROM judged
 ), enriched AS (SELECT * FROM named WHERE reason IS NULL)"""
 
@@ -112,10 +111,24 @@ _PROBLEMS = """concat_ws('; ',
 
 # defects of request bodies, by event_id modulo 16
 _CODE = """CASE m WHEN 9 THEN 413 WHEN 3 THEN 400 WHEN 5 THEN 400 WHEN 11 THEN 400 WHEN 13 THEN 400 WHEN 7 THEN 422 WHEN 12 THEN 422
-  ELSE CASE WHEN bad_type OR date_trunc('second', ts) > received_at + INTERVAL 300 SECONDS THEN 422 ELSE 202 END END"""
+  ELSE CASE WHEN bad_type OR date_trunc('second', ts) > received_at + INTERVAL 300 SECONDS THEN 422 WHEN event_id % 50 = 21 THEN 503 ELSE 202 END END"""
 _BODY = """'{"id":"' || id || '","type":"' || type || '","site_id":"' || site_id || '","visitor_id":"' || visitor_id || '","url":"' || url || '"' ||
   CASE WHEN user_agent <> '' THEN ',"user_agent":"' || user_agent || '"' ELSE '' END || ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '"'"""
 
+MESSAGES = f""", msg AS (
+  SELECT CASE WHEN m IN (2, 5, 7, 17, 21) THEN 'invalid_json' WHEN m IN (11, 13) THEN 'invalid_event' ELSE reason END AS reason, m IN (11, 13) AS blank, bad_type, future, late_us, part, off, received_at AS now,
+    CASE m WHEN 2 THEN '{{oops' WHEN 5 THEN '[1,2,3]' WHEN 7 THEN '' WHEN 11 THEN '{{}}' WHEN 13 THEN 'null' WHEN 17 THEN '{{' || repeat('w', 9000)
+      WHEN 19 THEN '{{"extra":[1,{{"a":2}}],' || substr(body, 2) WHEN 21 THEN body || ' tail' ELSE body END AS raw
+  FROM (SELECT *, event_id % 23 AS m, {_BODY} || ',"received_at":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%SZ') || '"}}' AS body FROM webpos) x
+  UNION ALL SELECT 'invalid_json', false, false, false, 0, 0, -1, TIMESTAMP '2024-01-01 00:00:00', '{{oops'
+  UNION ALL SELECT 'poison', false, false, false, 0, 0, -1, TIMESTAMP '2024-01-01 00:00:00', '{{"id":"poison"}}'
+)"""
+MESSAGES = MESSAGES.replace("'poison', false", "'invalid_event', NULL")
+_REST = "site_id is required; visitor_id is required; type must be \"pageview\" or \"click\"; url is required; timestamp is required"
+_TOLD = f"""CASE WHEN reason = 'invalid_json' THEN 'invalid JSON' WHEN blank IS NULL THEN '{_REST}' WHEN blank THEN 'id is required; {_REST}'
+  WHEN reason = 'too_late' THEN 'event is ' || (late_us // 3600000000) || 'h' || (late_us // 60000000 % 60) || 'm' || (late_us // 1000000 % 60) || 's late, more than the allowed 1h0m0s'
+  ELSE concat_ws('; ', CASE WHEN bad_type THEN 'type must be "pageview" or "click"' END, CASE WHEN future THEN 'timestamp is in the future' END) END"""
+
 DELIVERIES = f"""{OFFSETS}, deliv AS (
   SELECT pos.*, attempt, 'enriched-events/' || part || ':' || off AS owner, off % 13 <> 6 AS readable, attempt = 1 AS again,
     CASE WHEN part < 5 THEN 20 * part ELSE -1 END AS upto
@@ -152,6 +165,21 @@ REQUESTS = """, req AS (
 )"""
 
 
+LOTS = """, lots AS (
+  SELECT part::VARCHAR AS consumer, size, started, CASE WHEN (batch * 7 + part) % 11 = 3 THEN 'error' ELSE 'ok' END AS result, (mixed % 900 + 1) / 1000.0::DOUBLE AS s, mixed % 40 + 1 AS publish_ms, mixed % 70 + 1 AS store_ms
+  FROM (SELECT part, off // 200 AS batch, count(*) AS size, min(received_at) AS started, count(*) * 13 + (off // 200) * 37 + part * 101 AS mixed FROM webpos GROUP BY part, off // 200) a
+)"""
+LOAD = """, load AS (
+  SELECT part AS step, CASE WHEN event_id % 101 <> 7 THEN status END AS status, event_id % 97 = 5 AS dropped, event_id * 7919 % 9973 * 10 + 3 AS latency, epoch_us(received_at) AS intended, event_id * 2 + copy AS seq, part || '/' || (user_id % 4) AS worker FROM req
+), summary AS (
+  SELECT step, count(*) AS scheduled, count(*) FILTER (WHERE dropped) AS dropped, count(*) FILTER (WHERE NOT dropped AND status IS NULL) AS errors, (count(*) FILTER (WHERE NOT dropped AND status = 202)) / 61.0::DOUBLE AS accepted_per_s,
+    coalesce(quantile_disc(t, 0.5), 0)::BIGINT AS p50, coalesce(quantile_disc(t, 0.95), 0)::BIGINT AS p95, coalesce(quantile_disc(t, 0.99), 0)::BIGINT AS p99, coalesce(max(t), 0)::BIGINT AS max, any_value(codes) AS codes
+  FROM (SELECT *, CASE WHEN NOT dropped AND status IS NOT NULL THEN latency END AS t FROM load) l
+  JOIN (SELECT step AS of, string_agg(status || ':' || n, ' ' ORDER BY status) AS codes FROM (SELECT step, status, count(*) AS n FROM load WHERE NOT dropped AND status IS NOT NULL GROUP BY 1, 2) x GROUP BY 1) k ON k.of = step
+  GROUP BY step
+)"""
+
+
 def _disc(q: float) -> str:
     return f"quantile_disc(latency_us, {q})::DOUBLE"
 
@@ -170,7 +198,7 @@ def _quantile(q: float) -> str:
       max(le) OVER (PARTITION BY g) AS top FROM hist) x WHERE n >= {q} * total QUALIFY row_number() OVER (PARTITION BY g ORDER BY i) = 1)"""
 
 
-FRESH = """, fresh AS (SELECT 1 AS one, site_id, (event_id * 7919 % 4000 + 5) / 1000.0::DOUBLE AS seconds FROM uniq)"""
+FRESH = """, fresh AS (SELECT 1 AS one, site_id, (event_id * 7919 % 4000 + 5) / 1000.0::DOUBLE AS seconds FROM uniq WHERE event_id % 9 <> 4)"""
 _M = Mix()
 
 
@@ -202,21 +230,20 @@ ORACLE: dict[str, str] = {
     "dedupe_key": _web("SELECT id, copy, 'seen:' || octet_length(encode(site_id)) || ':' || site_id || ':' || id AS key FROM web"),
     "dedupe_owner": _web("SELECT id, copy, 'enriched-events/' || part || ':' || off AS owner FROM webpos", OFFSETS),
     "ua_parse": _web("SELECT id, copy, browser, device, is_bot FROM named"),
-    "ip_anonymize": _web("SELECT id, CASE event_id % 10 WHEN 3 THEN '2001:db8:' || format('{:x}', event_id % 4000 + 1) || '::' WHEN 4 THEN '' ELSE '203.' || (user_id % 256) || '.' || (event_id % 256) || '.0' END AS ip FROM web WHERE copy = 0"),
+    "ip_anonymize": _web("SELECT id, CASE event_id % 10 WHEN 3 THEN '2001:db8:' || format('{:x}', event_id % 4000 + 1) || '::' WHEN 4 THEN '' WHEN 5 THEN '192.0.2.0' WHEN 6 THEN 'fe80::' WHEN 7 THEN '' ELSE '198.' || (user_id % 256) || '.' || (event_id % 256) || '.0' END AS ip FROM web WHERE copy = 0"),
     "lateness": _web("SELECT id, copy, (late_us // 1000000)::BIGINT AS late_s, late_us > 3600000000 AS too_late FROM named"),
     "validate_problems": _web(f"SELECT event_id, {_PROBLEMS} AS problems FROM mut", MUTATED),
     "too_late": _web("SELECT id, copy, (late_us // 1000000)::BIGINT AS late_s FROM named WHERE reason = 'too_late'"),
-    "dead_letters": _web(
-        """SELECT reason, CASE WHEN reason = 'too_late' THEN 'event is ' || (late_us // 3600000000) || 'h' || (late_us // 60000000 % 60) || 'm' || (late_us // 1000000 % 60) || 's late, more than the allowed 1h0m0s'
-        ELSE concat_ws('; ', CASE WHEN bad_type THEN 'type must be "pageview" or "click"' END, CASE WHEN future THEN 'timestamp is in the future' END) END AS problems, id, part AS partition, off AS offset FROM webpos WHERE reason IS NOT NULL""",
-        OFFSETS,
-    ),
-    "dead_letters_by_reason": _web(_filled("reason", REASONS, "(SELECT reason FROM named WHERE reason IS NOT NULL)")),
+    "dead_letters": _web(f"SELECT reason, {_TOLD} AS problems, md5(CASE WHEN length(raw) > 8192 THEN substr(raw, 1, 8192) || '...(truncated)' ELSE raw END) AS raw_md5, 'raw-events' AS topic, part AS partition, off AS offset, strftime(now, '{_MS}') AS failed_at FROM msg WHERE reason IS NOT NULL", OFFSETS, MESSAGES),
+    "dead_letters_by_reason": _web(_filled("reason", REASONS, "(SELECT reason FROM msg WHERE reason IS NOT NULL)"), OFFSETS, MESSAGES),
+    "process_messages": _web(f"""SELECT 'enriched-events' AS topic, site_id || '/' || visitor_id AS key, part AS partition, off AS offset,
+      md5({_BODY} || ',"received_at":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%SZ') || '","browser":"' || browser || '","device":"' || device || '","is_bot":' || is_bot || '}}') AS value_md5
+      FROM webpos WHERE reason IS NULL AND event_id % 23 NOT IN (2, 5, 7, 11, 13, 17, 21)""", OFFSETS),
     "dead_letter_raw": _web("SELECT id, md5(cut) AS raw_md5, length(cut)::BIGINT AS n FROM (SELECT id, CASE WHEN length(raw) > 8192 THEN substr(raw, 1, 8192) || '...(truncated)' ELSE raw END AS cut FROM (SELECT id, repeat(user_agent, event_id % 120) AS raw FROM web WHERE copy = 0) a) b"),
     "collect_status": _web(_filled("code", STATUS_CODES, f"(SELECT {_CODE} AS code FROM (SELECT *, event_id % 16 AS m FROM named WHERE copy = 0) x)")),
-    "decode_json": _web("SELECT event_id, m NOT IN (3, 11, 13) AS ok, CASE WHEN m = 7 THEN 'a' WHEN m IN (3, 9, 11, 12, 13) THEN NULL ELSE id END AS id FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x"),
+    "decode_json": _web("SELECT event_id, m NOT IN (2, 3, 11, 13) AS ok, CASE WHEN m = 7 THEN 'a' WHEN m IN (2, 3, 9, 11, 12, 13) THEN NULL ELSE id END AS id, CASE WHEN m IN (2, 3, 7, 9, 11, 12, 13) THEN NULL ELSE site_id END AS site_id FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x"),
     "decode_strict": _web("SELECT event_id, m NOT IN (3, 5, 9, 11, 13) AS ok FROM (SELECT *, event_id % 16 AS m FROM web WHERE copy = 0) x"),
-    "collect_stamp": _web(f"SELECT id, CASE WHEN user_agent = '' THEN 'header/' || part ELSE user_agent END AS user_agent, '203.0.113.0' AS ip, strftime(received_at, '{_MS}') AS received_at FROM web WHERE copy = 0"),
+    "collect_stamp": _web(f"SELECT id, CASE WHEN user_agent = '' THEN 'header/' || part ELSE user_agent END AS user_agent, '10.9.8.7' AS sent_ip, '198.51.' || (user_id % 256) || '.0' AS ip, strftime(received_at, '{_MS}') AS received_at FROM web WHERE copy = 0"),
     "encode_enriched": _web(f"""SELECT id, copy, {_BODY} || ',"browser":"' || browser || '","device":"' || device || '","is_bot":' || is_bot || '}}' AS value FROM enriched"""),
     "decode_enriched": _web("SELECT event_id, m NOT IN (2, 3, 4, 5) AS readable, CASE WHEN m NOT IN (2, 3, 4, 5) THEN id END AS id FROM (SELECT *, event_id % 11 AS m FROM web WHERE copy = 0) x"),
     "redelivered": _web("SELECT part, count(*) FILTER (WHERE again) AS redelivered, count(*) AS deliveries FROM deliv GROUP BY 1", DELIVERIES),
@@ -250,6 +277,23 @@ ORACLE: dict[str, str] = {
     "histogram_quantile": _web(f"SELECT g AS consumer, round(value, 6)::DOUBLE AS p99 FROM {_quantile(0.99)} a", REQUESTS, ", lat AS (SELECT part, latency_us / 1000.0::DOUBLE AS ms FROM req)", _histogram("lat", "ms", exponential_bounds(0.001, 14), "part")),
     "mean_batch_size": _web("SELECT part AS consumer, count(*) AS batches, round(sum(size) / count(*)::DOUBLE, 6) AS mean_size FROM (SELECT part, off // 200 AS batch, count(*) AS size FROM webpos GROUP BY 1, 2) b GROUP BY 1", OFFSETS),
     "consumer_lag": _web("SELECT coalesce(part::VARCHAR, 'total') AS partition, sum(lag)::BIGINT AS lag FROM (SELECT part, greatest(stop - greatest(CASE part WHEN 0 THEN -1 WHEN 1 THEN stop + 5 ELSE stop - part * 10 END, start), 0) AS lag FROM (SELECT part, min(off) AS start, max(off) + 1 AS stop FROM webpos GROUP BY 1) a) b GROUP BY GROUPING SETS ((part), ())", OFFSETS),
+    "max_lag": _web("SELECT coalesce((part // 2)::VARCHAR, 'all') AS consumer, max(lag)::BIGINT AS lag FROM (SELECT part, greatest(stop - greatest(CASE part WHEN 0 THEN -1 WHEN 1 THEN stop + 5 ELSE stop - part * 10 END, start), 0) AS lag FROM (SELECT part, min(off) AS start, max(off) + 1 AS stop FROM webpos GROUP BY 1) a) b GROUP BY GROUPING SETS ((part // 2), ())", OFFSETS),
+    "batch_metrics": _web("SELECT s.c AS consumer, r AS result, count(size) AS batches, CASE WHEN r = 'ok' THEN coalesce(sum(size), 0)::BIGINT ELSE 0 END AS messages FROM (SELECT range::VARCHAR AS c, r FROM range(6), (VALUES ('ok'), ('error')) v(r)) s LEFT JOIN lots ON consumer = s.c AND result = r GROUP BY 1, 2", OFFSETS, LOTS),
+    "batch_size_histogram": _web("SELECT g AS consumer, i::INT AS i, n FROM hist", OFFSETS, LOTS, _histogram("lots", "size", exponential_bounds(1, 9), "consumer")),
+    "batch_duration_p99": _web(f"SELECT g AS consumer, round(value, 6)::DOUBLE AS p99 FROM {_quantile(0.99)} a", OFFSETS, LOTS, _histogram("lots", "s", exponential_bounds(0.001, 14), "consumer")),
+    "latency_quantiles": _web(
+        f"SELECT g AS what, 0.5::DOUBLE AS q, round(value, 6)::DOUBLE AS seconds FROM {_quantile(0.5)} a UNION ALL SELECT g, 0.99::DOUBLE, round(value, 6)::DOUBLE FROM {_quantile(0.99)} b",
+        REQUESTS, OFFSETS, LOTS, ", took AS (SELECT 'request' AS what, latency_us / 1000000.0::DOUBLE AS s FROM req UNION ALL SELECT 'publish', publish_ms / 1000.0::DOUBLE FROM lots WHERE result = 'ok' UNION ALL SELECT 'store', store_ms / 1000.0::DOUBLE FROM lots WHERE result = 'ok')", _histogram("took", "s", exponential_bounds(0.001, 14), "what"),
+    ),
+    "rate_batch_errors": _web("SELECT (floor(epoch(started) / 300) * 300)::BIGINT AS window_start, consumer, count(*) / 300.0::DOUBLE AS per_second FROM lots WHERE result = 'error' GROUP BY ALL", OFFSETS, LOTS),
+    "load_summary": _web("SELECT * FROM summary", REQUESTS, LOAD),
+    "step_table": _web("SELECT step, lpad(((step + 1) * 1000)::VARCHAR, 8, ' ') || lpad(printf('%.0f', accepted_per_s), 10, ' ') || lpad(dropped::VARCHAR, 8, ' ') || lpad(errors::VARCHAR, 8, ' ') || lpad(codes, 28, ' ') || lpad(printf('%.1f ms', p50 / 1000.0), 12, ' ') || lpad(printf('%.1f ms', p95 / 1000.0), 12, ' ') || lpad(printf('%.1f ms', p99 / 1000.0), 12, ' ') || lpad(printf('%.1f ms', max / 1000.0), 12, ' ') AS line FROM summary", REQUESTS, LOAD),
+    "open_loop_latency": _web("SELECT step, quantile_disc(wait, 0.5)::BIGINT AS p50, quantile_disc(wait, 0.99)::BIGINT AS p99, max(wait)::BIGINT AS max FROM (SELECT step, total + max(intended - (total - latency)) OVER (PARTITION BY worker ORDER BY intended, seq ROWS UNBOUNDED PRECEDING) - intended AS wait FROM (SELECT *, sum(latency) OVER (PARTITION BY worker ORDER BY intended, seq ROWS UNBOUNDED PRECEDING) AS total FROM load WHERE NOT dropped) a) b GROUP BY 1", REQUESTS, LOAD),
+    "key_order": _web("SELECT id, copy, coalesce(lag(id) OVER (PARTITION BY site_id, visitor_id ORDER BY part, off), '') AS previous FROM pos", OFFSETS),
+    "latest_minutes_of_site": _web("SELECT bucket_id, pageviews, clicks, bot_events FROM base WHERE site_id = 'site-1' ORDER BY minute DESC LIMIT 10", BASE),
+    "audit_diff_of_sites": _web("SELECT * FROM off WHERE starts_with(bucket_id, 'site-1')", STORED),
+    "audit_first_diffs": _web("SELECT *, greatest((SELECT count(*) FROM off) - 15, 0)::BIGINT AS remaining FROM off ORDER BY bucket_id LIMIT 15", STORED),
+    "topic_scan": _web("SELECT part AS partition, count(*) AS n, count(DISTINCT site_id || '/' || visitor_id) AS keys, max(off) AS last_offset FROM webpos GROUP BY 1", OFFSETS),
     "stream_scan": _web("SELECT part, count(*) AS n FROM web GROUP BY 1"),
     "stream_minute_counters": _web("SELECT bucket_id, pageviews, clicks, bot_events FROM base", BASE),
 }

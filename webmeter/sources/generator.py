@@ -31,6 +31,10 @@ def draw(seed: int, what: str, seq: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
+#: Bodies of invalid requests.
+INVALID_BODIES = ["{oops", '{"id":"incomplet"}']
+
+
 def kind(mix: Mix, seed: int, seq: Column) -> Column:
     roll = draw(seed, "kind", seq)
     return F.when(roll < mix.invalid, "invalid").when((roll < mix.invalid + mix.duplicate) & (seq > 0), "duplicate").otherwise("valid")
@@ -65,7 +69,7 @@ def events(spark: SparkSession, n: int, run: str = "run", seed: int = 1, mix: Mi
         F.concat(F.lit("https://example.com/page-"), F.floor(draw(seed, "page", src) * 50)).alias("url"),
         F.when(bot, AGENTS[7]).otherwise(human).alias("user_agent"),
         F.timestamp_micros(sent - (minutes * 60_000_000).cast("long")).alias("timestamp"),
-        F.when(F.col("kind") == "invalid", F.when(seq % 2 == 0, "{oops").otherwise('{"id":"incomplet"}')).alias("invalid_body"),
+        F.when(F.col("kind") == "invalid", F.when(seq % 2 == 0, INVALID_BODIES[0]).otherwise(INVALID_BODIES[1])).alias("invalid_body"),
         bot.alias("bot"),
         (age < mix.too_late).alias("too_late"),
     )

@@ -26,6 +26,17 @@ def publish(messages: DataFrame, folder: str, mode: str = "append") -> None:
     messages.select(*MESSAGE.fieldNames()).write.mode(mode).parquet(folder)
 
 
+def log_sink(messages: DataFrame):
+    """Writer of a streaming query that prints its messages instead of publishing them."""
+    return messages.selectExpr("topic", "key", "value").writeStream.format("console").option("truncate", False)
+
+
+def poison(spark: SparkSession, topic: str) -> DataFrame:
+    """Two messages that no consumer can use, with keys: broken JSON and an event without its required fields."""
+    values = [(topic, 0, -1, "poison/1", "{oops"), (topic, 0, -1, "poison/2", '{"id":"poison"}')]
+    return spark.createDataFrame(values, MESSAGE)
+
+
 def keyed(events: DataFrame, value, topic: str) -> DataFrame:
     """Events as messages keyed by site and visitor; one partition keeps a visitor's order."""
     return events.select(F.lit(topic).alias("topic"), F.col("part").alias("partition"), F.col("offset").cast("long").alias("offset"), partition_key(F.col("site_id"), F.col("visitor_id")).alias("key"), value.alias("value"))

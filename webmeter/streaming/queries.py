@@ -18,16 +18,18 @@ def _staged(spark: SparkSession, d: str, files: int = 3) -> tuple[str, str]:
     """The web events as a topic folder, in order of reception over a few files; and its parent."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     folder = topics.shared_folder(spark)
-    # ranges of the reception time, written oldest first: one micro-batch each
+    # slices of the reception time, derived and written once, then published oldest first
     rows = webevents.web_events(spark, d)
     at = rows.agg(F.min("received_at").alias("a"), F.max("received_at").alias("b")).select(F.unix_micros("a"), F.unix_micros("b")).first()
     if at[0] is None:
         rows.write.parquet(f"{folder}/in")
         return folder, f"{folder}/in"
     width = (at[1] - at[0]) // files + 1
+    sliced = rows.withColumn("slice", F.floor((F.unix_micros("received_at") - at[0]) / width).cast("int"))
+    sliced.write.partitionBy("slice").parquet(f"{folder}/sliced")
     for k in range(files):
-        lo, hi = at[0] + k * width, at[0] + (k + 1) * width
-        rows.where((F.unix_micros("received_at") >= lo) & (F.unix_micros("received_at") < hi)).write.mode("append").parquet(f"{folder}/in")
+        part = spark.read.schema(sliced.schema).parquet(f"{folder}/sliced").where(F.col("slice") == k).drop("slice")
+        part.write.mode("append").parquet(f"{folder}/in")
     return folder, f"{folder}/in"
 
 
@@ -35,6 +37,17 @@ def _stream(spark: SparkSession, d: str, path: str) -> DataFrame:
     return spark.readStream.schema(webevents.web_events(spark, d).schema).parquet(path)
 
 
+def topic_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Messages published to a topic and read back in small micro-batches: number, keys and last offset of each partition."""
+    folder = topics.shared_folder(spark)
+    rows = webevents.with_offsets(webevents.web_events(spark, d))
+    topics.publish(topics.keyed(rows, F.to_json(F.struct("id", "type")), "raw-events"), f"{folder}/topic")
+    read = topics.scan(spark, f"{folder}/topic", files_per_batch=2)
+    _drain(read.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/cp")
+    got = spark.read.schema(read.schema).parquet(f"{folder}/out")
+    return got.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("keys"), F.max("offset").alias("last_offset"))
+
+
 def _drain(writer, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

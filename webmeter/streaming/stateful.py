@@ -36,19 +36,22 @@ class SessionProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         state = self.current.get() if self.current.exists() else None
         opener, last = (state[0], state[1]) if state else (None, None)
+        seen: dict[str, str] = {}
+        changed = False
         for r in sorted(rows, key=lambda r: (r.received_us, r.order)):
-            known = self.answers.getValue((r.id,)) if self.answers.containsKey((r.id,)) else None
-            if known is None:
-                if last is None or r.ts_ms - last > self.timeout_ms:
-                    opener, last = r.id, r.ts_ms
-                else:
-                    last = max(last, r.ts_ms)
-                self.answers.updateValue((r.id,), (opener,))
-                answer = opener
-            else:
-                answer = known[0]
-            yield Row(site_id=key[0], visitor_id=key[1], id=r.id, opener=answer, payload=r.payload)
-        if opener is not None:
+            if r.id not in seen:
+                known = self.answers.getValue((r.id,)) if self.answers.containsKey((r.id,)) else None
+                if known is None:
+                    if last is None or r.ts_ms - last > self.timeout_ms:
+                        opener, last = r.id, r.ts_ms
+                    else:
+                        last = max(last, r.ts_ms)
+                    self.answers.updateValue((r.id,), (opener,))
+                    changed = True
+                seen[r.id] = opener if known is None else known[0]
+            yield Row(site_id=key[0], visitor_id=key[1], id=r.id, opener=seen[r.id], payload=r.payload)
+        # replays do not refresh the session
+        if changed:
             self.current.update((opener, last))
 
     def close(self) -> None:
