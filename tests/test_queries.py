@@ -28,6 +28,22 @@ def test_decoders_return_oversized_bodies(spark, name):
     assert long == ({(True, None, None)} if name == "decode_json" else {(False,)})
 
 
+@pytest.mark.parametrize("name", ["minute_counters", "dead_letters", "stream_minute_counters", "rate_by_code", "session_summary"])
+def test_other_time_zone(spark, name):
+    """The session's time zone neither matters nor changes."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        compare.same(catalog.QUERIES[name](spark, FOLDER), oracle.ORACLE[name], FOLDER)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_positions_cover_all_messages(spark):
+    want = oracle._web("SELECT part, greatest(max(off), CASE WHEN part < 5 THEN 20 * part END)::BIGINT AS offset FROM pos GROUP BY part", oracle.OFFSETS)
+    compare.same(catalog.positions_after_batch(spark, FOLDER), want, FOLDER)
+
+
 def test_known_totals(spark):
     """Counts of the derived events at sf0.01."""
     from pyspark.sql import functions as F

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ TEXT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def _web(spark: SparkSession, d: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return webevents.web_events(spark, d)
 
 
@@ -655,8 +655,23 @@ def audit_first_diffs(spark: SparkSession, d: str) -> DataFrame:
     return audit.first_and_rest(audit.bucket_diff(_stored(unique), unique)).select("bucket_id", *audit.TOTALS, "remaining")
 
 
+def in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query built with UTC as the session's time zone, which is put back afterwards (expressions keep the zone they were built with)."""
+
+    @wraps(query)
+    def built(spark: SparkSession, d: str) -> DataFrame:
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        try:
+            return query(spark, d)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+
+    return built
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: in_utc(f)
     for f in (
         minute_counters, breakdown_devices, breakdown_browsers, bot_events, sessions_opened, minute_counters_from_deltas, totals_by_prefix, latest_minutes, bucket_count, bucket_id,
         sessions_assign, sessions_replay, session_summary, active_sessions, session_id_hash,

@@ -16,7 +16,6 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def _staged(spark: SparkSession, d: str, files: int = 3) -> tuple[str, str]:
     """The web events as a topic folder, in order of reception over a few files; and its parent."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     folder = topics.shared_folder(spark)
     # slices of the reception time, derived and written once, then published oldest first
     rows = webevents.web_events(spark, d)
