@@ -372,6 +372,46 @@ def test_near_copies_in_blocks(spark):
         assert len({c for d, (_, c) in got.items() if d < 40}) == 1
 
 
+def test_near_copies_in_a_crowd(spark):
+    """Passages that many texts share and chains of similar texts: prefixes grow, the links stay those of brute force."""
+    r = np.random.default_rng(4)
+    some = lambda tag, n: [f"{tag}{x}" for x in r.integers(0, 10**9, n)]
+    shared, rows = some("s", 40), []
+    for i in range(60):  # half of each text is the same
+        rows.append((i, shared + some(f"o{i}_", 36)))
+    for i in range(0, 60, 3):  # some have a near copy
+        rows.append((100 + i, rows[i][1][:-2]))
+    chain = some("c", 60)
+    for i in range(25):  # neighbours are similar, the ends are not
+        chain = chain[3:] + some("c", 3)
+        rows.append((200 + i, list(chain)))
+    rows = [(d, " ".join(w)) for d, w in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_links(rows)
+    assert want[200] and not any(want[d] for d in range(1, 60, 3))
+    for block in (512, 10):
+        got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.near_copies(docs, block=block).collect()}
+        assert {d: n for d, (n, _) in got.items()} == {d: want[d] for d, _ in rows}
+        assert {c for d, (_, c) in got.items() if d >= 200} == {200}
+
+
+def test_near_copies_repeated_ids(spark):
+    """Rows without an id, and rows that repeat an id, are told apart by their texts."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (None, text + " x"), (None, "other words are here now"), (None, text), (3, text), (3, text + " y"), (3, text), (3, "nothing like it at all")]
+    got = jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_links) for r in got) == [(0, 0), (0, 5), (0, 5), (0, 5), (3, 0), (3, 5), (3, 5), (3, 5)]
+
+
+def test_components_need_enough_rounds(spark):
+    from webmeter.llm.components import components
+
+    path = spark.range(300).selectExpr("id as u", "id + 1 as v")
+    assert {r.root for r in components(path).collect()} == {0}
+    with pytest.raises(RuntimeError, match="no fixed point"):
+        components(path, most=2)
+
+
 def test_near_copies_hard_rows(spark, hard, none):
     rows = jaccard.near_copies(hard).collect()
     assert sorted((r.doc_id or 0, r.n_links) for r in rows) == [(0, 0), (1, 1), (1, 1), (2, 0), (2, 0), (3, 0), (4, 0), (5, 0)]

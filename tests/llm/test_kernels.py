@@ -200,9 +200,25 @@ def test_decontamination_finds_edits():
 
 
 def test_depth_is_shortened_to_the_recall():
-    d = jaccard.matched_depth()
-    assert 1 - (1 - 0.8**d) ** jaccard.TREES >= jaccard.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES
-    assert jaccard.matched_depth(trees=1, recall=0.999) == 1
+    d = jaccard.depth_for(jaccard.TREES)
+    assert jaccard.recall_of(d, jaccard.TREES) >= jaccard.RECALL > jaccard.recall_of(d + 1, jaccard.TREES)
+    assert jaccard.depth_for(1) == 1
+    for depth in jaccard.DEPTHS:
+        n = jaccard.trees_for(depth)
+        assert depth > d and jaccard.recall_of(depth, n) >= jaccard.RECALL > jaccard.recall_of(depth, n - 1)
+
+
+@pytest.mark.parametrize("depth", [5, *jaccard.DEPTHS])
+def test_recall_at_the_threshold(depth):
+    """Pairs of sets of similarity 0.8 share a prefix in some tree, at every length of prefix."""
+    r = np.random.default_rng(depth)
+    missed = 0
+    for _ in range(150):
+        pool = r.integers(0, 2**63, 100).astype(np.uint64)
+        a, b = np.unique(pool[:90]), np.unique(pool[10:])
+        keys = jaccard.prefixes(np.concatenate([a, b]), np.array([len(a), len(b)]), jaccard.trees_for(depth), depth)
+        missed += not (keys[0] == keys[1]).any()
+    assert missed == 0
 
 
 def test_links_are_exact():

@@ -12,13 +12,14 @@ from .text import written
 SALT = 16
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame, most: int = 200) -> DataFrame:
     """Rows (node, root): every node of an edge (u, v) with the least node of its component.
 
     Alternates the two star operations until nothing changes; each round is
     written to the shared folder, so that a lost executor costs no more than
     one round, and no group is ever collected: a hub's edges are aggregated in
-    parts and joined in ``SALT`` parts.
+    parts and joined in ``SALT`` parts.  The number of rounds grows with the
+    logarithm of the nodes; RuntimeError if ``most`` are not enough.
     """
     spark = edges.sparkSession
     edges = written(spark, edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -36,5 +37,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if now == seen or not now[0]:
             break
         seen = now
+    else:
+        raise RuntimeError(f"no fixed point after {most} rounds of components")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))

@@ -2,22 +2,30 @@
 
 Two texts are linked if the Jaccard similarity of their sets of five-word
 shingles is at least 0.8.  Texts with equal sets form one class, so that copies
-are never expanded.  Each class has ``TREES`` signatures of ``DEPTH`` minimum
-hashes; a tree is the trie of its signatures.  The matched prefix starts at the
-full depth and is shortened until the probability that a pair at the threshold
-shares a prefix in some tree reaches ``RECALL``; classes under one trie node at
-that depth are candidates.
-
-Candidates are joined into components, and inside a component all pairs are
-verified exactly by products of shingle incidence matrices.  A component of
-more than ``BLOCK`` classes is cut into blocks and each pair of blocks is a
-task of its own, so no task holds more than two blocks whatever the skew; a
-task returns numbers of links and a spanning forest, never pairs.
+are never expanded.
+
+Every class has a forest of tries; a tree's key is a sequence of minimum hashes
+and classes under one trie node, that is with one prefix of the key, are
+candidates.  A prefix of length d keeps the target recall at the threshold if
+``trees_for(d)`` trees are grown, so a class starts with the longest prefix and
+shortens it until the trees that it has are enough: ``depth_for`` of the base
+forest's ``TREES``.  Where that prefix is too short for the crowd (candidates
+that hang together by passages shared by many), the classes concerned, and only
+they, get more trees, and with them a longer prefix, of ``DEPTHS`` in turn: the
+length of a prefix depends on the neighbourhood, the recall does not.
+
+Candidates are joined into components and verified exactly by products of
+shingle incidence matrices.  A component of more than ``BLOCK`` classes at the
+longest prefix (near copies of one text, mostly) is cut into blocks and each
+pair of blocks is a task of its own, so no task holds more than two blocks
+whatever the skew; a task returns numbers of links and a spanning forest, never
+pairs.  A component of b blocks sends each of its sets b times.
 
 Defined cases: a null text is empty; a text without words is linked to nothing
 and is a class of its own row; a text of one to four words has one shingle;
 repeated rows are copies; a null id stays null (such rows are still counted as
-partners); other columns are ignored.
+partners); other columns are ignored.  Sets are told apart by two 64-bit
+hashes; candidates and links name a set by the first of them.
 """
 
 from __future__ import annotations
@@ -37,19 +45,33 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5
 TREES = 32
 DEPTH = 8
+#: Longer prefixes for crowded neighbourhoods; ``STRIDE`` hashes of a tree at most.
+DEPTHS = (8, 12)
+STRIDE = 16
 RECALL = 0.99999
 BLOCK = 512
 COLUMNS = 4096
+THRESHOLD = NUMERATOR / DENOMINATOR
 U = np.uint64
 
 
-def matched_depth(trees: int = TREES, depth: int = DEPTH, similarity: float = NUMERATOR / DENOMINATOR, recall: float = RECALL) -> int:
-    """The longest prefix, shortened from the full depth, that reaches the recall at the threshold."""
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
+def recall_of(depth: int, trees: int, similarity: float = THRESHOLD) -> float:
+    """Probability that two sets of a similarity share a prefix in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
+def depth_for(trees: int, depth: int = DEPTH, recall: float = RECALL) -> int:
+    """The prefix, shortened from the full depth until the trees reach the recall at the threshold."""
+    while depth > 1 and recall_of(depth, trees) < recall:
         depth -= 1
     return depth
 
 
+def trees_for(depth: int, recall: float = RECALL) -> int:
+    """The trees that a prefix of this length needs for the recall at the threshold."""
+    return int(np.ceil(np.log(1 - recall) / np.log(1 - THRESHOLD**depth)))
+
+
 def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Odd factors and increments of the hash functions, from a fixed rule."""
     a = T.mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -72,7 +94,7 @@ def identities(sets: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def prefixes(sets: np.ndarray, many: np.ndarray, trees: int, depth: int) -> np.ndarray:
     """Key of the trie node at ``depth`` of each tree (columns) for each non-empty set (rows)."""
-    a, b = multipliers(trees * DEPTH)
+    a, b = multipliers(trees * STRIDE)
     x = (sets >> U(32)).astype(np.uint32)
     at = (np.cumsum(many) - many)[many > 0]
     keys = np.empty((len(at), trees), U)
@@ -80,29 +102,35 @@ def prefixes(sets: np.ndarray, many: np.ndarray, trees: int, depth: int) -> np.n
     for t in range(trees):
         key = np.full(len(at), U(t + 1))
         for d in range(depth):
-            np.multiply(x, a[t * DEPTH + d], out=y)
-            y += b[t * DEPTH + d]
+            np.multiply(x, a[t * STRIDE + d], out=y)
+            y += b[t * STRIDE + d]
             key = T.mix(key * U(0xD6E8FEB86659FD93) + np.minimum.reduceat(y, at).astype(U))
         keys[:, t] = key
     return keys
 
 
-def sign(docs: DataFrame, key: str, text: str, trees: int, depth: int) -> DataFrame:
-    """Rows (key, k1, k2, trie nodes): k1, k2 identify the set; both null for a text without words."""
-    schema = f"_id {dict(docs.dtypes)[key]}, k1 long, k2 long, nodes array<long>"
+def sign(docs: DataFrame, key: str, text: str, trees: int = TREES) -> DataFrame:
+    """Rows (_id, th, k1, k2, nodes): a hash of the text, the identity of its set, the trie nodes; all null but th for a text without words."""
+    schema = f"_id {dict(docs.dtypes)[key]}, th long, k1 long, k2 long, nodes array<long>"
+    depth = depth_for(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for c in T.chunks(b.column(1)):
+            for c in T.chunks(b.column(2)):
                 sets, many = shingle_sets(c.data, c.offsets)
                 k1, k2 = identities(sets, many)
                 some = many > 0
-                nodes = prefixes(sets, many, trees, depth).view(np.int64) if some.any() else np.empty((0, trees), np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * trees)]).astype(np.int32)), pa.array(nodes.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.last - c.first), pa.array(k1, mask=~some), pa.array(k2, mask=~some), lists], ["_id", "k1", "k2", "nodes"])
+                part = b.slice(c.first, c.last - c.first)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(k1, mask=~some), pa.array(k2, mask=~some), _nodes(sets, many, trees, depth)], ["_id", "th", "k1", "k2", "nodes"])
 
     T.scan_conf(docs.sparkSession)
-    return docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("th"), F.col(text).alias("_text")).mapInArrow(run, schema)
+
+
+def _nodes(sets: np.ndarray, many: np.ndarray, trees: int, depth: int) -> pa.Array:
+    some = many > 0
+    nodes = prefixes(sets, many, trees, depth).view(np.int64) if some.any() else np.empty((0, trees), np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * trees)]).astype(np.int32)), pa.array(nodes.ravel()))
 
 
 def linked(sets: list[np.ndarray], left: int | None) -> np.ndarray:
@@ -159,26 +187,71 @@ def verify(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "links": links @ n.astype(np.int64), "root": node[forest(links)]})
 
 
+def under_one_node(nodes: DataFrame) -> DataFrame:
+    """(node, root) of the classes (node, nodes) that trie nodes join; sides that grow with the input are merged, never broadcast."""
+    bands = nodes.select("node", F.explode("nodes").alias("band"))
+    many = bands.groupBy("band").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x").select("band", "m").hint("merge")
+    return T.written(nodes.sparkSession, components(bands.join(many, "band").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v")).distinct()))
+
+
+class _Texts:
+    """Texts of classes, one row a class: by id and hash of its first copy."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, copies: DataFrame, repeated: bool):
+        self.own = docs.select(F.coalesce(F.col(key), F.lit(0)).alias("_i"), F.col(key).isNull().alias("_none"), F.xxhash64(text).alias("th"), F.col(text).alias("_text"))
+        self.copies = copies
+        self.repeated = repeated
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """``wanted`` (node, ...) with ``_text``."""
+        at = self.copies.select(F.col("k1").alias("node"), F.coalesce("head.id", F.lit(0)).alias("_i"), F.col("head.none").alias("_none"), F.col("head.th").alias("th"))
+        found = self.own.join(wanted.join(at, "node").hint("merge"), ["_i", "_none", "th"]).select(*wanted.columns, "_text")
+        return found.dropDuplicates(["node"]) if self.repeated else found
+
+
+def resigned(texts: DataFrame, depth: int) -> DataFrame:
+    """(node, nodes) of classes (node, _text) with the trees that a longer prefix needs."""
+    trees = trees_for(depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in T.chunks(b.column(1)):
+                sets, many = shingle_sets(c.data, c.offsets)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.last - c.first), _nodes(sets, many, trees, depth)], ["node", "nodes"])
+
+    return texts.select("node", "_text").mapInArrow(run, "node long, nodes array<long>")
+
+
+def candidates(signed: DataFrame, texts: _Texts, block: int, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
+    """(node, root): components of candidates; crowded ones are grown again with longer prefixes."""
+    spark = signed.sparkSession
+    member = under_one_node(signed.where("k1 is not null").select(F.col("k1").alias("node"), "nodes"))
+    for depth in depths:
+        crowded = member.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block).select("root")
+        crowded = T.written(spark, crowded)
+        if not crowded.limit(1).count():
+            break
+        finer = under_one_node(resigned(texts.of(member.join(crowded.hint("merge"), "root").select("node")), depth))
+        member = T.written(spark, member.join(crowded.hint("merge"), "root", "left_anti").select("node", "root").unionByName(finer))
+    return member
+
+
 def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int = BLOCK) -> DataFrame:
-    """One row per distinct shingle set: k1, k2, class_id, copy_id, n_links, first.
+    """One row per distinct shingle set: k1, k2, class_id, copy_id, th, n_links, first.
 
     ``first`` marks the set that holds the first row of its class (least id,
     a null id last).
     """
     spark = docs.sparkSession
-    # candidate components; sides that grow with the input are merged, never broadcast, at every size
-    bands = signed.where("k1 is not null").select(F.col("k1").alias("node"), F.explode("nodes").alias("band"))
-    many = bands.groupBy("band").agg(F.min("node").alias("m"), F.max("node").alias("x")).where("m < x").select("band", "m").hint("merge")
-    member = components(bands.join(many, "band").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v")).distinct())
-    member = T.written(spark, member)
+    first_row = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "th")
+    copies = T.written(spark, signed.where("k1 is not null").groupBy("k1", "k2").agg(F.min(first_row).alias("head"), F.count(F.lit(1)).alias("n")))
+    repeated = bool(signed.groupBy("_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
+    texts = _Texts(docs, key, text, copies, repeated)
+    member = candidates(signed, texts, block)
     sizes = member.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    copies = T.written(spark, signed.where("k1 is not null").groupBy("k1", "k2").agg(F.min("_id").alias("copy_id"), F.count(F.lit(1)).alias("n")))
     placed = member.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wanted = T.written(spark, copies.join(placed, F.col("k1") == F.col("node")).select("node", "root", "blocks", "block", "n", "copy_id"))
-    # the texts of the candidates, one row per set: by the id of its first copy
-    own = docs.select(F.coalesce(F.col(key), F.lit(0)).alias("_i"), F.col(key).isNull().alias("_none"), F.col(text).alias("_text"))
-    sought = wanted.select("node", "root", "blocks", "block", "n", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none")).hint("merge")
-    held = own.join(sought, ["_i", "_none"]).select("node", "root", "blocks", "block", "n", "_text")
+    wanted = T.written(spark, copies.join(placed, F.col("k1") == F.col("node")).select("node", "root", "blocks", "block", "n"))
+    held = texts.of(wanted)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,7 +260,7 @@ def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int
                 k1, _ = identities(sets, many)
                 at = np.concatenate([[0], np.cumsum(many)]).tolist()
                 part = b.slice(c.first, c.last - c.first)
-                right = np.flatnonzero(k1 == part.column(0).to_numpy())  # an id may be repeated with another text
+                right = np.flatnonzero(k1 == part.column(0).to_numpy())  # two texts of one id may share a hash
                 take = pa.array(right)
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(take) for i in range(5)), pa.array([sets[at[i] : at[i + 1]].tobytes() for i in right], pa.binary())], ["node", "root", "blocks", "block", "n", "set"])
 
@@ -201,10 +274,10 @@ def classes(docs: DataFrame, signed: DataFrame, key: str, text: str, block: int
         grouped = checked.where("node <> root").select("node", "root")
     named = links.join(grouped, "node", "left").select(F.col("node").alias("k1"), "links", F.coalesce("root", "node").alias("root"))
     known = copies.join(named, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    order = F.struct(F.col("copy_id").isNull().alias("none"), F.col("copy_id").alias("id"), "k1", "k2")
-    least = known.groupBy("root").agg(F.min("copy_id").alias("class_id"), F.min(order).alias("head"))
-    mine = (F.col("head.k1") == F.col("k1")) & (F.col("head.k2") == F.col("k2"))
-    return known.join(least, "root").select("k1", "k2", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), mine.alias("first"))
+    order = F.struct("head", "k1", "k2")
+    least = known.groupBy("root").agg(F.min("head.id").alias("class_id"), F.min(order).alias("top"))
+    mine = (F.col("top.k1") == F.col("k1")) & (F.col("top.k2") == F.col("k2"))
+    return known.join(least, "root").select("k1", "k2", "class_id", F.col("head.id").alias("copy_id"), F.col("head.th").alias("th"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), mine.alias("first"))
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees: int = TREES, block: int = BLOCK) -> DataFrame:
@@ -214,8 +287,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     the least id that verified links lead to, ``n_links`` the number of other
     rows with similarity 0.8 or more, copies included.
     """
-    signed = T.written(docs.sparkSession, sign(docs, key, text, trees, matched_depth(trees)))
-    own = classes(docs, signed, key, text, block).hint("merge")
+    signed = T.written(docs.sparkSession, sign(docs, key, text, trees))
+    own = classes(docs, signed, key, text, block).drop("th").hint("merge")
     out = signed.select("_id", "k1", "k2").join(own, ["k1", "k2"], "left")
     return out.select(F.col("_id").alias(key), F.coalesce("class_id", "_id").alias("class_id"), F.coalesce("copy_id", "_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -226,7 +299,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", trees:
     Rows without words all stay.
     """
     spark, names = docs.sparkSession, docs.columns
-    signed = T.written(spark, sign(docs, key, text, trees, matched_depth(trees)))
+    signed = T.written(spark, sign(docs, key, text, trees))
     heads = classes(docs, signed, key, text, block).where("first").select("k1", "k2", F.coalesce("copy_id", F.lit(0)).alias("_i"), F.col("copy_id").isNull().alias("_none"), F.lit(True).alias("_head")).hint("merge")
     schema = ST.StructType([ST.StructField("_k1", ST.LongType()), ST.StructField("_k2", ST.LongType()), ST.StructField("_row", docs.schema)])
     place = names.index(text)
