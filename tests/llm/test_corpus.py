@@ -120,6 +120,25 @@ def test_rotation(spark):
     assert chat.rotate(long.where("false")).count() == 0
 
 
+def test_rotation_in_rows(spark):
+    """The rows of a rendering, joined, are the rendering; spans are places in it."""
+    talk = [(1, t, "ann" if t % 3 else "bob", f"t{t}") for t in range(511 + 1 + 1)] + [(2, 0, "ann", "first"), (2, 600, "bob", "<|assistant|>\nsecond"), (2, 10**12, "ann", "third"), (3, None, "ann", "n"), (3, -700, "bob", "m"), (3, 511, "ann", "o"), (3, 512, "ann", "p")]
+    talk += [(4, t, f"s{t % 7}", "word " * (t % 5)) for t in range(1300)]
+    got = chat.rotate(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()
+    whole = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: r.part):
+        whole[r.conv_id, r.speaker].append(r)
+    assert len(whole) == 2 + 2 + 2 + 7 and {k: len(v) for k, v in whole.items() if k[0] < 4} == {(1, "ann"): 2, (1, "bob"): 2, (2, "ann"): 1, (2, "bob"): 1, (3, "ann"): 1, (3, "bob"): 1}
+    for (conv, who), rows in whole.items():
+        text = "".join(r.text for r in rows)
+        turns = sorted((t for t in talk if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0))
+        esc = lambda x: x.replace("<|", "<\\|")
+        assert text == "".join(("<|assistant|>\n" if r == who else f"<|user name={r}|>\n") + esc(x) + "\n" for _, _, r, x in turns)
+        assert [r.start for r in rows] == [sum(len(x.text) for x in rows[:k]) for k in range(len(rows))]
+        spans = [s.split(":") for r in rows for s in r.mask.split(",") if r.mask]
+        assert [text[int(a) : int(b)] for a, b in spans] == [esc(x) for _, _, r, x in turns if r == who]
+
+
 # decontamination
 
 
