@@ -329,6 +329,19 @@ def test_suffix_dedup_splits_hot_anchors(spark):
     assert {x.doc_id: tuple(x)[1:] for x in suffix_dedup.dedup(docs, digests=True, most=1).collect()} == want
 
 
+def test_suffix_dedup_with_many_continuations(spark):
+    """A passage that goes on differently in every text is dealt out window by window; so is nothing else."""
+    r = np.random.default_rng(18)
+    letters = np.array(list("abcdefgh "))
+    draw = lambda n: "".join(r.choice(letters, n))
+    passage = draw(110)
+    rows = [(i, draw(int(r.integers(5, 90))) + passage + draw(int(r.integers(5, 90)))) for i in range(2500)] + [(9000 + i, draw(300)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hot = suffix_dedup.hot_anchors(docs.select("text"))
+    assert 0 < len(hot) <= 4
+    assert {x.doc_id: tuple(x)[1:] for x in suffix_dedup.dedup(docs, digests=True).collect()} == brute_dedup(rows)
+
+
 def test_suffix_dedup_hard_rows(spark, hard, none):
     rows = suffix_dedup.dedup(hard).collect()
     assert len(rows) == len(HARD)

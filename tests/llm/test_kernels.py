@@ -156,6 +156,24 @@ def test_contexts_cover_every_window():
             assert covered == list(range(max(0, n - 99)))
 
 
+@pytest.mark.parametrize("piece", [1, 7, 100, 333, 10_000])
+def test_contexts_of_long_texts_in_pieces(piece):
+    """Every window is in one context and has the anchor that it has without pieces."""
+    r = random.Random(6)
+    texts = ["".join(r.choice("abcd ") for _ in range(n)) for n in (50, 700, 99, 100, 1200, 130)]
+    (c,) = T.chunks(pa.array(texts), 1 << 20)
+
+    def windows(found):
+        doc, start, own, anchor, _ = found
+        rows = [(d, s + k, a) for d, s, o, a in zip(doc.tolist(), start.tolist(), own.tolist(), anchor.tolist(), strict=True) for k in range(o)]
+        assert len({x[:2] for x in rows}) == len(rows)
+        return sorted(rows)
+
+    want = windows(suffix_dedup.contexts(c.data, c.offsets))
+    assert len(want) == sum(max(0, len(x) - 99) for x in texts)
+    assert windows(suffix_dedup.contexts(c.data, c.offsets, piece)) == want
+
+
 def test_repeated_windows():
     r = random.Random(9)
     base = bytes(r.choice(b"abcdef") for _ in range(160))

@@ -7,16 +7,20 @@
    context (the bytes that they cover).
 2. Contexts are grouped by anchor.  Of equal contexts only the first can be new;
    a task passes on one of each kind, so that hot passages shrink before the
-   exchange.
+   exchange.  An anchor with a large share of all different contexts (a passage
+   that goes on in many ways) would still fill one task: a first pass finds such
+   anchors, ``HELD / CROWD`` at most, and their contexts are dealt out window by
+   window under the hashes of the windows' bytes.
 3. Where an anchor has several different contexts, their bytes are fetched and
    a suffix array of them (linear grouping by Lyndon prefixes, ``gsaca``) puts
    equal windows side by side: all but the earliest are removed.
 4. The removed ranges of each document are merged and cut out.
 
-Anchors and equal contexts are recognised by 64-bit hashes; windows of
-different contexts by their bytes.  An anchor with more than ``MOST`` different
-contexts is split: each of its windows becomes a context of its own under the
-hash of its bytes.
+Anchors, equal contexts and the windows of hot anchors are recognised by 64-bit
+hashes; windows of different contexts by their bytes.  An anchor with more than
+``MOST`` different contexts is split: each of its windows becomes a context of
+its own under the hash of its bytes.  Texts are read in pieces of ``PIECE``
+windows, so that a very long text needs no more memory than its bytes.
 
 Defined cases: a null text is empty; a text of less than 100 bytes loses
 nothing; documents are ordered by id, a null id first; rows that share an id
@@ -41,9 +45,13 @@ from .gsaca import suffix_array
 LENGTH = 100
 GRAM = 24
 WINDOW = LENGTH - GRAM + 1
+#: Windows that are anchored at once, and the bits that hold a place among them; the rest of a hash's bits rank the k-grams.
+PIECE = 1 << 24
 PLACE_BITS = 26
 #: Contexts that a task keeps in memory to find equal ones before the exchange.
 HELD = 1_000_000
+#: Different contexts of an anchor, of ``HELD`` held, from which on it is hot.
+CROWD = 64
 #: Different contexts of an anchor that one task sorts.
 MOST = 4096
 U = np.uint64
@@ -51,8 +59,23 @@ SPAN, REQUEST, CONTEXT = 1, 2, 0
 ROW = "kind int, anchor long, same long, id long, h long, start int, own int"
 
 
-def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document, start in it, windows, anchor, content hash) of the contexts of a chunk."""
+def contexts(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, ...]:
+    """(document, start in it, windows, anchor, content hash) of the contexts of a chunk.
+
+    A chunk (one very long text) of more than ``piece`` windows is read in pieces
+    that overlap by a window less a byte; every window is in one piece.
+    """
+    if len(data) <= piece + LENGTH - 1:
+        return _contexts(data, offsets)
+    parts = []
+    for lo in range(0, len(data) - LENGTH + 1, piece):
+        hi = min(lo + piece + LENGTH - 1, len(data))
+        doc, start, *rest = _contexts(data[lo:hi], np.clip(offsets - lo, 0, hi - lo))
+        parts.append((doc, start + np.maximum(lo - offsets[doc], 0), *rest))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     n, none = len(data), np.empty(0, np.int64)
     if n < LENGTH:
         return none, none, none, none.view(U), none.view(U)
@@ -114,7 +137,55 @@ def _first_of_equals(anchor: np.ndarray, same: np.ndarray, id_: np.ndarray, h: n
     return by, first
 
 
-def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) to rows (anchor, n): anchors with more than ``CROWD`` different contexts among those held; a null anchor counts all."""
+    held: list[np.ndarray] = []
+
+    def out() -> pa.RecordBatch:
+        both = np.unique(np.concatenate(held), axis=0)
+        anchor, n = np.unique(both[:, 0], return_counts=True)
+        hot = n > CROWD
+        return pa.RecordBatch.from_pydict({"anchor": pa.array([*anchor[hot].view(np.int64).tolist(), None], pa.int64()), "n": pa.array([*n[hot].tolist(), len(both)], pa.int64())})
+
+    size = 0
+    for b in batches:
+        for c in T.chunks(b.column(0)):
+            _, _, _, anchor, same = contexts(c.data, c.offsets)
+            held.append(np.stack([anchor, same], 1))
+            size += len(anchor)
+            if size >= HELD:
+                yield out()
+                held, size = [], 0
+    if size:
+        yield out()
+
+
+def hot_anchors(own: DataFrame) -> list[int]:
+    """Anchors with at least ``CROWD / HELD`` of all different contexts (``HELD / CROWD`` anchors at most), and more than ``CROWD``."""
+    found = T.written(own.sparkSession, own.select("text").mapInArrow(crowded, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")))
+    total = F.max(F.when(F.col("anchor").isNull(), F.col("n")))
+    least = found.agg((total * F.lit(CROWD / HELD)).alias("n")).scalar()
+    return [r.anchor for r in found.where(F.col("anchor").isNotNull() & (F.col("n") >= least)).select("anchor").collect()]
+
+
+def opened(data: np.ndarray, offsets: np.ndarray, found: tuple[np.ndarray, ...], hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Contexts of a chunk with those of hot anchors split into windows, each under the hash of its bytes."""
+    doc, start, own, anchor, same = found
+    split = np.isin(anchor, hot)
+    if not split.any():
+        return found
+    n = own[split]
+    place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(start[split], n) + place
+    owner = np.repeat(doc[split], n)
+    begin = offsets[owner] + at
+    key = T.mix(T.hash_spans(data, begin, begin + LENGTH, lower=False) ^ U(0x5DEECE66D))
+    rest = ~split
+    one = np.ones(len(at), own.dtype)
+    return tuple(np.concatenate(x) for x in ((doc[rest], owner), (start[rest], at), (own[rest], one), (anchor[rest], key), (same[rest], np.zeros(len(at), U))))
+
+
+def gather(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(id, h, text) to one context of each kind a task, and ranges of the other equals."""
     held: list[list[np.ndarray]] = []
 
@@ -132,7 +203,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, hs = (b.column(i).to_numpy() for i in (0, 1))
         for c in T.chunks(b.column(2)):
-            doc, start, own, anchor, same = contexts(c.data, c.offsets)
+            doc, start, own, anchor, same = opened(c.data, c.offsets, contexts(c.data, c.offsets), hot)
             doc = doc + c.first
             held.append([anchor.view(np.int64), same.view(np.int64), ids[doc], hs[doc], start, own])
             size += len(doc)
@@ -299,7 +370,8 @@ def removed_ranges(own: DataFrame, most: int = MOST) -> DataFrame:
     """Rows (id, h, ranges) for the documents (id, h, text) that lose bytes."""
     spark = own.sparkSession
     T.scan_conf(spark)
-    found = own.mapInArrow(gather, ROW)
+    hot = spark.sparkContext.broadcast(np.array(sorted(hot_anchors(own)), np.int64).view(U))
+    found = own.mapInArrow(lambda batches: gather(batches, hot.value), ROW)
     decided = T.written(spark, found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lambda batches: decide(batches, most), ROW))
     _release(spark)
     asked = decided.where(F.col("kind") == REQUEST).select("anchor", F.col("same").alias("split"), "id", "h", "start", "own").hint("merge")
