@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import random
+import time
 import re
 
 import numpy as np
@@ -145,6 +146,25 @@ def brute_repeats(docs: list[bytes]) -> list[int]:
     return out
 
 
+def test_dense_spans_in_long_texts(vocab):
+    """The scan of a text with very many runs, against the plain rule; it is linear in the text."""
+    r = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rand = lambda n: "".join(r.choice(letters) for _ in range(n))
+    text = "".join(r.choice(["é ü ", "plain words here ", rand(r.randint(16, 40)) + " ", f"token = {rand(20)} ", "0123456789abcdef" * 2 + " ", f"AKIA{rand(20).upper()} "]) for _ in range(4000))
+    raw = text.encode()
+    start = time.perf_counter()
+    (got,) = secret_scan.scan_chunk(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), vocab)
+    took = time.perf_counter() - start
+    base = secret_scan.base_spans(text, True, True, True)
+    want = list(base)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        if secret_scan.random_looking(m[0], vocab) and not any(s <= m.start() and m.end() <= e for s, _, e in base):
+            want.append((m.start(), 3, m.end()))
+    assert got == sorted(want) and sum(k == 3 for _, k, _ in got) > 300
+    assert took < 5
+
+
 def test_contexts_cover_every_window():
     r = random.Random(4)
     texts = ["".join(r.choice("abcd ") for _ in range(r.choice([0, 99, 100, 101, 400, 900]))) for _ in range(30)] + ["ab" * 200, "x" * 500]

@@ -144,7 +144,13 @@ class Vocabulary:
 
     def __init__(self, content: bytes, size: int = CACHE):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
-        self.pieces = {r: p for p, r in self.ranks.items()}
+        # all pieces one after the other, and where each begins
+        by_id = {r: p for p, r in self.ranks.items()}
+        self.size_of = np.zeros(max(by_id, default=-1) + 1, np.int64)
+        for i, p in by_id.items():
+            self.size_of[i] = len(p)
+        self.begin = np.cumsum(self.size_of) - self.size_of
+        self.blob = np.frombuffer(b"".join(by_id[i] for i in sorted(by_id)), np.uint8)
         self.size, self.young, self.old = size, {}, {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -209,11 +215,24 @@ class Vocabulary:
         return out
 
     def lengths(self, ids: np.ndarray) -> np.ndarray:
-        """Bytes of each token; their running sum gives the offsets."""
-        return np.fromiter((len(self.pieces[i]) for i in ids.tolist()), np.int64, len(ids))
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+        """Bytes of each token."""
+        return self.size_of[ids]
+
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """Where each token begins in its text's bytes, and the end of the last."""
+        at = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.lengths(ids), out=at[1:])
+        return at
+
+    def decode(self, ids: np.ndarray, at: np.ndarray | None = None) -> bytes:
+        """The bytes of the ids: every token's piece at its offset."""
+        at = self.offsets(ids) if at is None else at
+        if not len(ids):
+            return b""
+        source = np.ones(int(at[-1]), np.int64)
+        source[at[:-1]] = self.begin[ids]
+        source[at[1:-1]] -= self.begin[ids[:-1]] + self.size_of[ids[:-1]] - 1
+        return self.blob[np.cumsum(source, out=source)].tobytes()
 
 
 @functools.lru_cache(2)
@@ -256,15 +275,15 @@ def encode(docs: DataFrame, ranks, text: str = "text", outputs: tuple[str, ...]
             for c in T.chunks(b.column(names.index(text))):
                 for packed in vocab.encode_chunk(c.data, c.offsets):
                     ids = np.frombuffer(packed, "<u4")
-                    back = vocab.decode(ids) if "decoded" in rows or "decoded_sha256" in rows else b""
+                    at = vocab.offsets(ids)
+                    back = vocab.decode(ids, at) if "decoded" in rows or "decoded_sha256" in rows else b""
                     for o, put in rows.items():
                         if o == "n_tokens":
                             put.append(len(ids))
                         elif o == "ids":
                             put.append(packed)
                         elif o == "offsets":
-                            size = vocab.lengths(ids)
-                            put.append((np.cumsum(size) - size).astype("<i8").tobytes())
+                            put.append(at[:-1].astype("<i8").tobytes())
                         elif o == "decoded":
                             put.append(back)
                         else:

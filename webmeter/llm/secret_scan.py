@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -119,17 +121,24 @@ def scan_chunk(data: np.ndarray, offsets: np.ndarray, vocab: bpe.Vocabulary, rat
     for a, b, d in zip(begin.tolist(), end.tolist(), owner.tolist(), strict=True):
         if random_looking(raw[a:b].decode(), vocab, ratio):
             dense.setdefault(d, []).append((a, b))
+    # code points before each byte
+    points = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
     for d in {*np.flatnonzero(flags.any(0)).tolist(), *dense}:
         a, b = int(offsets[d]), int(offsets[d + 1])
         spans = base_spans(raw[a:b].decode(), *flags[:, d].tolist()) if flags[:, d].any() else []
         if d in dense:
-            base = list(spans)
+            begins = [s for s, _, _ in spans]
+            reach = list(accumulate((e for _, _, e in spans), max))
+            more = []
             for x, y in dense[d]:
-                start = len(raw[a:x].decode())
+                start = int(points[x] - points[a])
                 stop = start + y - x
-                if not any(s <= start and stop <= e for s, _, e in base):
-                    spans.append((start, 3, stop))
+                before = bisect_right(begins, start)
+                if not before or reach[before - 1] < stop:
+                    more.append((start, 3, stop))
+            spans = spans + more
         out[d] = sorted(spans)
     return out
 
@@ -154,15 +163,16 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]")
 OUTPUTS = {"n_assign": (ST.LongType(), pa.int64()), "n_access": (ST.LongType(), pa.int64()), "n_hex": (ST.LongType(), pa.int64()), "n_dense": (ST.LongType(), pa.int64()), "base_sha256": (ST.StringType(), pa.string()), "spans": (ST.StringType(), pa.string()), "redacted": (ST.StringType(), pa.string())}
 
 
-def scan(docs: DataFrame, ranks, text: str = "text", outputs: tuple[str, ...] = ("spans",), keep: list[str] | None = None, ratio: float = DENSE_RATIO) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the chosen ``outputs`` (replaced if they exist).
+def scan(docs: DataFrame, ranks, text: str = "text", outputs: tuple[str, ...] = ("spans",), keep: list[str] | None = None, ratio: float = DENSE_RATIO, called: dict[str, str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the chosen ``outputs`` (replaced if they exist), under the names ``called`` gives them.
 
     ``redacted`` is the text with the spans replaced; a null text stays null.
     """
-    docs = docs.drop(*outputs)
+    titles = [(called or {}).get(o, o) for o in outputs]
+    docs = docs.drop(*titles)
     names = docs.columns
     kept = names if keep is None else [c for c in keep if c in names]
-    schema = ST.StructType([*docs.select(*kept).schema.fields, *(ST.StructField(o, OUTPUTS[o][0]) for o in outputs)])
+    schema = ST.StructType([*docs.select(*kept).schema.fields, *(ST.StructField(t, OUTPUTS[o][0]) for t, o in zip(titles, outputs, strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = bpe.vocabulary(ranks.value)
@@ -180,7 +190,7 @@ def scan(docs: DataFrame, ranks, text: str = "text", outputs: tuple[str, ...] =
                 else:
                     k = KINDS.index(o[2:])
                     made[o] = [sum(x[1] == k for x in s) for s in found]
-            yield pa.RecordBatch.from_arrays([*(b.column(names.index(c)) for c in kept), *(pa.array(made[o], OUTPUTS[o][1]) for o in outputs)], [*kept, *outputs])
+            yield pa.RecordBatch.from_arrays([*(b.column(names.index(c)) for c in kept), *(pa.array(made[o], OUTPUTS[o][1]) for o in outputs)], [*kept, *titles])
 
     T.scan_conf(docs.sparkSession)
     return docs.mapInArrow(run, schema)

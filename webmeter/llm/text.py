@@ -148,6 +148,14 @@ def crc32_mod(column: str, m: int) -> str:
     return f"coalesce(pmod(crc32(cast(cast({column} as string) as binary)), {m}), 0)"
 
 
+def fresh(names: list[str], base: str) -> str:
+    """A column name that is not among ``names`` (in any case)."""
+    taken = {n.lower() for n in names}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def scan_conf(spark, records: int = 256) -> None:
     """Arrow batches small enough that long documents fit a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
