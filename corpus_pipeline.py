@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from webmeter.llm import bpe, decontaminate, jaccard, quality, secret_scan
 from webmeter.llm.queries import rank_path
-from webmeter.llm.text import crc32_mod, written
+from webmeter.llm.text import crc32_mod, fresh, written
 
 QUALITY_THRESHOLD = 0.3
 
@@ -20,8 +20,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops the documents that the quality classifier rejects (score below 0.3)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"{crc32_mod('doc_id', 5)} <> 0")
     names = docs.columns
-    scored = quality.score(docs, quality.fit(docs, labels), out="_quality")
-    return scored.where(F.col("_quality") >= QUALITY_THRESHOLD).select(*names)
+    out = fresh(names, "quality_score")
+    scored = quality.score(docs, quality.fit(docs, labels), out=out)
+    return scored.where(F.col(out) >= QUALITY_THRESHOLD).select(*names)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +38,10 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mark; no document is dropped, ``n_chars`` follows the text."""
     names = docs.columns
-    scanned = secret_scan.scan(docs, bpe.rank_file(spark, rank_path()), outputs=("redacted",))
-    fresh = {"text": F.col("redacted")} | ({"n_chars": F.when(F.col("n_chars").isNotNull(), F.length("redacted").cast("long"))} if "n_chars" in names else {})
-    return scanned.withColumns(fresh).select(*names)
+    out = fresh(names, "redacted")
+    scanned = secret_scan.scan(docs, bpe.rank_file(spark, rank_path()), outputs=("redacted",), called={"redacted": out})
+    changed = {"text": F.col(out)} | ({"n_chars": F.when(F.col("n_chars").isNotNull(), F.length(out).cast("long"))} if "n_chars" in names else {})
+    return scanned.withColumns(changed).select(*names)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
