@@ -493,6 +493,10 @@ def test_stages_on_hard_rows(spark):
         left = out.count()
         assert left == (len(rows) - 1 if "Jaccard" in name else len(rows)), name
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
+    clash = docs.select("*", F.lit("mine").alias("Redacted"), F.lit(7).alias("quality_score"), F.lit(8).alias("_quality"), F.lit("n").alias("nodes"))
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, clash, FOLDER)
+        assert out.columns == clash.columns and {tuple(r) for r in out.select("Redacted", "quality_score", "_quality", "nodes").collect()} == {("mine", 7, 8, "n")}, name
     secret = p.secrets_stage(spark, docs, FOLDER).where("doc_id = 77").first()
     assert "hunter" not in secret.text and secret.n_chars == len(secret.text)
     final = p.tokens_stage(spark, docs, FOLDER)
