@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import collections
 import random
 import time
 import re
@@ -237,6 +238,41 @@ def test_decontamination_finds_edits():
     assert got[0, 7] == (1.0, 60) and got[1, 7][0] >= 0.8
 
 
+@pytest.mark.parametrize("n", [5, 8, 12, 19, 24, 40, 60, 100, 119, 121, 142, 200, 400])
+def test_decontamination_recall(n):
+    """Edited passages of every length that brute force finds are found; those below the threshold are not."""
+    r = np.random.default_rng(n)
+    noise = lambda k: [f"n{x}" for x in r.integers(0, 10**9, k)]
+    items = [noise(n) for _ in range(30)]
+    index = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items)])
+    bag = lambda w: collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or collections.Counter([tuple(w)])
+    texts, want = [], set()
+    for i, x in enumerate(items):
+        y = list(x)
+        for _ in range(int(r.integers(0, max(2, n // 25 + 2)))):
+            at, kind = int(r.integers(0, len(y))), int(r.integers(0, 3))
+            y[at : at + (kind != 2)] = [] if kind == 1 else ["edit"]
+        a, b = bag(x), bag(y)
+        if y and sum((a & b).values()) / sum((a | b).values()) >= 0.8:
+            want.add((i, i))
+        texts.append(" ".join(noise(int(r.integers(0, 60))) + y + noise(int(r.integers(0, 60)))))
+    got = {(d, k): s for c in T.chunks(pa.array(texts)) for d, k, _, _, s in index.matches(c.data, c.offsets)}
+    assert want <= set(got) and all(d == k and s >= 0.8 for (d, k), s in got.items()) and len(want) >= 8
+
+
+def test_item_groups_have_a_byte_bound(monkeypatch):
+    class Rows:
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+        def toLocalIterator(self):  # noqa: N802
+            return iter([pytest.importorskip("pyspark.sql").Row(i=i, t="x" * n) for i, n in enumerate([40, 40, 40, 200, 10, 10, 10])])
+
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 100)
+    monkeypatch.setattr(decontaminate, "F", Rows())
+    assert [[i for i, _ in g] for g in decontaminate.item_groups(Rows(), size=3)] == [[0, 1], [2], [3], [4, 5, 6]]
+
+
 def test_depth_is_shortened_to_the_recall():
     d = jaccard.depth_for(jaccard.TREES)
     assert jaccard.recall_of(d, jaccard.TREES) >= jaccard.RECALL > jaccard.recall_of(d + 1, jaccard.TREES)

@@ -14,10 +14,16 @@ fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
 all block values that near: every pair within the radius meets.  A candidate is
 verified by the weighted Jaccard similarity (shingle multiplicities) of the
 five-word shingles of the item and of the text's window aligned to it, with the
-window's borders moved by up to ``SLACK`` words.
+window's borders moved by up to ``SLACK`` words.  An item of ``FAR`` shingles or
+more whose aligned window is less similar than ``SIMILARITY - 0.35`` cannot
+reach the threshold by moving borders, so the moves are left out.
 
-The items are taken in groups of at most ``GROUP``: one group is broadcast,
-further groups are further passes over the texts, so nothing grows unchecked.
+The widths are those of the classes, not of each item: every width costs a pass
+over all words, and items have as many lengths as they like.
+
+The items are taken in groups of at most ``GROUP`` items and ``GROUP_BYTES``
+bytes (a longer item is a group of its own): one group is broadcast, further
+groups are further passes over the texts, so nothing grows unchecked.
 
 Defined cases: a null or empty text or item matches nothing; an item of less
 than five words is one shingle; equal items each match; repeated rows give
@@ -48,6 +54,9 @@ FILED = 5
 SLACK = 2
 #: Items that are broadcast at once.
 GROUP = 2000
+GROUP_BYTES = 4 << 20
+#: Shingles from which on ``2 * SLACK`` moved words cannot lift a similarity by 0.35.
+FAR = 20
 U = np.uint64
 _ONES = U(0x0101010101010101)
 _HIGH = U(0x8080808080808080)
@@ -168,7 +177,7 @@ class Index:
                 sim = weighted_jaccard(Counter(T.shingles(words[a:b], np.array([b - a]), SHINGLE)[0].tolist()), want)
                 if sim >= SIMILARITY and sim > best.get((doc, k), (0,))[0]:
                     best[doc, k] = (sim, a - lo, b - a)
-                if sim == 1.0 or sim < SIMILARITY - 0.35:
+                if sim == 1.0 or (sim < SIMILARITY - 0.35 and sum(want.values()) >= FAR):
                     break
         return [(doc, self.items[k][0], a, n, sim) for (doc, k), (sim, a, n) in sorted(best.items())]
 
@@ -186,13 +195,16 @@ def weighted_jaccard(a: Counter, b: Counter) -> float:
 
 
 def item_groups(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = GROUP) -> Iterator[list[tuple[int, str]]]:
-    """The items, at most ``size`` at a time, streamed partition by partition."""
+    """The items, at most ``size`` and ``GROUP_BYTES`` at a time, streamed partition by partition."""
     group: list[tuple[int, str]] = []
+    held = 0
     for r in benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").toLocalIterator():
-        group.append((r.i, r.t))
-        if len(group) == size:
+        n = len(r.t.encode())
+        if group and (len(group) == size or held + n > GROUP_BYTES):
             yield group
-            group = []
+            group, held = [], 0
+        group.append((r.i, r.t))
+        held += n
     if group:
         yield group
 
