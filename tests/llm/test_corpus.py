@@ -404,7 +404,7 @@ def test_near_copies_in_blocks(spark):
         assert len({c for d, (_, c) in got.items() if d < 40}) == 1
 
 
-def test_near_copies_in_a_crowd(spark):
+def test_near_copies_in_a_crowd(spark, monkeypatch):
     """Passages that many texts share and chains of similar texts: prefixes grow, the links stay those of brute force."""
     r = np.random.default_rng(4)
     some = lambda tag, n: [f"{tag}{x}" for x in r.integers(0, 10**9, n)]
@@ -421,10 +421,13 @@ def test_near_copies_in_a_crowd(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_links(rows)
     assert want[200] and not any(want[d] for d in range(1, 60, 3))
-    for block in (512, 10):
+    grown = []
+    monkeypatch.setattr(jaccard, "resigned", lambda texts, depth, own=jaccard.resigned: grown.append(depth) or own(texts, depth))
+    for block in (512, 10, 4):
         got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.near_copies(docs, block=block).collect()}
         assert {d: n for d, (n, _) in got.items()} == {d: want[d] for d, _ in rows}
         assert {c for d, (_, c) in got.items() if d >= 200} == {200}
+    assert grown
 
 
 def test_near_copies_repeated_ids(spark):

@@ -9,14 +9,15 @@ and classes under one trie node, that is with one prefix of the key, are
 candidates.  A prefix of length d keeps the target recall at the threshold if
 ``trees_for(d)`` trees are grown, so a class starts with the longest prefix and
 shortens it until the trees that it has are enough: ``depth_for`` of the base
-forest's ``TREES``.  Where that prefix is too short for the crowd (candidates
-that hang together by passages shared by many), the classes concerned, and only
-they, get more trees, and with them a longer prefix, of ``DEPTHS`` in turn: the
-length of a prefix depends on the neighbourhood, the recall does not.
+forest's ``TREES``.  Where that prefix is too short for the crowd (a component of
+more than ``CROWDED`` blocks of candidates that hang together by chains or by passages shared
+by many, while most of them have no trie node in common), the classes concerned,
+and only they, get more trees, and with them a longer prefix, of ``DEPTHS`` in
+turn: the length of a prefix depends on the neighbourhood, the recall does not.
 
 Candidates are joined into components and verified exactly by products of
-shingle incidence matrices.  A component of more than ``BLOCK`` classes at the
-longest prefix (near copies of one text, mostly) is cut into blocks and each
+shingle incidence matrices.  A component that still has more than ``BLOCK``
+classes (near copies of one text, mostly) is cut into blocks and each
 pair of blocks is a task of its own, so no task holds more than two blocks
 whatever the skew; a task returns numbers of links and a spanning forest, never
 pairs.  A component of b blocks sends each of its sets b times.
@@ -50,6 +51,10 @@ DEPTHS = (8, 12)
 STRIDE = 16
 RECALL = 0.99999
 BLOCK = 512
+#: Blocks from which on a component is crowded: below, verifying its pairs of blocks costs less than growing it again.
+CROWDED = 8
+#: Members of a crowded component that tell whether it hangs together loosely: less than half of their pairs meet.
+SAMPLED = 64
 COLUMNS = 4096
 THRESHOLD = NUMERATOR / DENOMINATOR
 U = np.uint64
@@ -202,10 +207,11 @@ class _Texts:
         self.copies = copies
         self.repeated = repeated
 
-    def of(self, wanted: DataFrame) -> DataFrame:
-        """``wanted`` (node, ...) with ``_text``."""
+    def of(self, wanted: DataFrame, merge: bool = True) -> DataFrame:
+        """``wanted`` (node, ...) with ``_text``; without ``merge`` the session's limit of size decides how they are joined."""
         at = self.copies.select(F.col("k1").alias("node"), F.coalesce("head.id", F.lit(0)).alias("_i"), F.col("head.none").alias("_none"), F.col("head.th").alias("th"))
-        found = self.own.join(wanted.join(at, "node").hint("merge"), ["_i", "_none", "th"]).select(*wanted.columns, "_text")
+        placed = wanted.join(at, "node")
+        found = self.own.join(placed.hint("merge") if merge else T.written(self.own.sparkSession, placed), ["_i", "_none", "th"]).select(*wanted.columns, "_text")
         return found.dropDuplicates(["node"]) if self.repeated else found
 
 
@@ -222,16 +228,34 @@ def resigned(texts: DataFrame, depth: int) -> DataFrame:
     return texts.select("node", "_text").mapInArrow(run, "node long, nodes array<long>")
 
 
+def loose(member: DataFrame, signed: DataFrame, block: int) -> DataFrame:
+    """Roots of the components with more than ``CROWDED`` blocks of which most pairs, in a sample of ``SAMPLED`` classes, share no trie node."""
+    crowded = member.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CROWDED * block).select("root")
+    few = Window.partitionBy("root").orderBy(F.xxhash64("node"))
+    some = member.join(crowded, "root").withColumn("place", F.row_number().over(few)).where(F.col("place") <= SAMPLED).select("root", F.col("node").alias("k1"))
+    nodes = some.join(signed.where("k1 is not null").select("k1", "nodes"), "k1").dropDuplicates(["k1"])
+
+    def spread(t: pa.Table) -> pa.Table:
+        x = np.stack([np.array(n) for n in t["nodes"].to_pylist()])
+        met = (x[:, None, :] == x[None, :, :]).any(2)
+        m = len(x)
+        return pa.table({"root": t["root"].slice(0, 1).combine_chunks() if 2 * (int(met.sum()) - m) < m * (m - 1) else pa.array([], pa.int64())})
+
+    return nodes.select("root", "nodes").groupBy("root").applyInArrow(spread, "root long")
+
+
 def candidates(signed: DataFrame, texts: _Texts, block: int, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
     """(node, root): components of candidates; crowded ones are grown again with longer prefixes."""
     spark = signed.sparkSession
     member = under_one_node(signed.where("k1 is not null").select(F.col("k1").alias("node"), "nodes"))
     for depth in depths:
-        crowded = member.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block).select("root")
-        crowded = T.written(spark, crowded)
+        if not member.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CROWDED * block).limit(1).count():
+            break
+        crowded = T.written(spark, loose(member, signed, block))
         if not crowded.limit(1).count():
             break
-        finer = under_one_node(resigned(texts.of(member.join(crowded.hint("merge"), "root").select("node")), depth))
+        signed = T.written(spark, resigned(texts.of(member.join(crowded.hint("merge"), "root").select("node"), merge=False), depth)).withColumnRenamed("node", "k1")
+        finer = under_one_node(signed.withColumnRenamed("k1", "node"))
         member = T.written(spark, member.join(crowded.hint("merge"), "root", "left_anti").select("node", "root").unionByName(finer))
     return member
 
