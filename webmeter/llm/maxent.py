@@ -13,8 +13,8 @@ feature.  With history h
     P(w | h) = P(class | h) * P(w | class, h)
 
 where both factors of a frequent word are softmaxes over hashed features of h
-(the word before, the pair before, and the word before that one, skipping one;
-within a class, the word and the pair before), and a word of a profile or spelling class
+(the word before, the pair before, and skips over one and two words; within a
+class, the word and the pair before), and a word of a profile or spelling class
 has its smoothed training share in that class.  A repeated word's probability counts
 only the class of repeats, so the sum over all words is at most 1.
 
@@ -154,7 +154,7 @@ def code(t: Tokens, model: Model) -> Coded:
     opened = np.where(known, lean, PROFILES + t.kind.astype(np.int32))
     context = np.where(known & (rank < CONTEXT), rank, CONTEXT + opened).astype(U)
     before = []
-    for _ in range(2):
+    for _ in range(3):
         source = before[-1] if before else context
         shifted = np.concatenate([source[:1], source[:-1]])
         shifted[first] = BEGIN_CONTEXT
@@ -162,12 +162,12 @@ def code(t: Tokens, model: Model) -> Coded:
     word = np.concatenate([t.word[:1], t.word[:-1]])
     cls = np.where(known & (rank < FREQUENT), rank // MEMBERS, CLASSES + opened).astype(np.int32)
     cls[(word == t.word) & ~first] = REPEAT
-    one, two = (b + U(1) for b in before)
-    m = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+    one, two, three = (b + U(1) for b in before)
+    m = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
     pair = one * m[0] + two * m[1]
-    rows = [_row(one * m[0]), _row(T.mix(pair)), _row(two * m[2])]
+    rows = [_row(one * m[0]), _row(T.mix(pair)), _row(two * m[2]), _row(three * m[3])]
     inside = np.flatnonzero(cls < CLASSES)
-    c = cls[inside].astype(U) * m[3]
+    c = cls[inside].astype(U) * m[4]
     inside_rows = [_row(T.mix(c + one[inside] * m[2])), _row(T.mix(c + pair[inside]))]
     return Coded(rank, cls, rows, inside, inside_rows)
 
