@@ -14,9 +14,9 @@ fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
 all block values that near: every pair within the radius meets.  A candidate is
 verified by the weighted Jaccard similarity (shingle multiplicities) of the
 five-word shingles of the item and of the text's window aligned to it, with the
-window's borders moved by up to ``SLACK`` words.  An item of ``FAR`` shingles or
-more whose aligned window is less similar than ``SIMILARITY - 0.35`` cannot
-reach the threshold by moving borders, so the moves are left out.
+window's borders moved by up to ``SLACK`` words.  The moves are left out where
+the widest of these windows, which holds the shingles of all others, has too few
+of the item's shingles for any of them.
 
 The widths are those of the classes, not of each item: every width costs a pass
 over all words, and items have as many lengths as they like.
@@ -55,8 +55,6 @@ SLACK = 2
 #: Items that are broadcast at once.
 GROUP = 2000
 GROUP_BYTES = 4 << 20
-#: Shingles from which on ``2 * SLACK`` moved words cannot lift a similarity by 0.35.
-FAR = 20
 U = np.uint64
 _ONES = U(0x0101010101010101)
 _HIGH = U(0x8080808080808080)
@@ -173,11 +171,16 @@ class Index:
             if best.get((doc, k), (0,))[0] == 1.0:
                 continue
             lo, hi = int(at[doc]), int(at[doc + 1])
+            if n >= SHINGLE + 2 * SLACK:
+                a, b = max(lo, first - SLACK), min(hi, first + n + SLACK)
+                wide = Counter(T.shingles(words[a:b], np.array([b - a]), SHINGLE)[0].tolist())
+                if sum(min(m, wide[x]) for x, m in want.items() if x in wide) < SIMILARITY * sum(want.values()):
+                    continue
             for a, b in self._borders(first, first + n, lo, hi):
                 sim = weighted_jaccard(Counter(T.shingles(words[a:b], np.array([b - a]), SHINGLE)[0].tolist()), want)
                 if sim >= SIMILARITY and sim > best.get((doc, k), (0,))[0]:
                     best[doc, k] = (sim, a - lo, b - a)
-                if sim == 1.0 or (sim < SIMILARITY - 0.35 and sum(want.values()) >= FAR):
+                if sim == 1.0:
                     break
         return [(doc, self.items[k][0], a, n, sim) for (doc, k), (sim, a, n) in sorted(best.items())]
 
