@@ -308,17 +308,92 @@ def test_links_are_exact():
     assert not cross[:20, :20].any() and not cross[20:, 20:].any() and (cross[:20, 20:] == got[:20, 20:]).all()
 
 
-def test_kneser_ney_sums_to_one():
-    """Rebuilds both class models at one history from the stored differences' source counts."""
-    texts = ["lo lo low lox", "lot lot la"]
-    c = next(T.chunks(pa.array(texts)))
+def _sequences(text):
+    """(history, letter) of every letter of the words of a text, plainly."""
+    for w in text.lower().encode().split():
+        w = b" " + w + b" "
+        for j in range(1, len(w)):
+            yield w[max(0, j - toxicity.ORDER + 1) : j], w[j : j + 1]
+
+
+class PlainKneserNey:
+    """Interpolated Kneser-Ney by dictionaries: longest sequences by class, shorter ones over both."""
+
+    def __init__(self, texts, labels):
+        self.own = [collections.Counter(x for t, y in zip(texts, labels, strict=True) if y == c for x in _sequences(t)) for c in (0, 1)]
+        self.seen = {}
+        whole, now = set(self.own[0] | self.own[1]), collections.Counter()
+        for k in range(toxicity.ORDER, 1, -1):
+            now = collections.Counter((h[1:], w) for h, w in now)
+            now.update((h, w) for h, w in whole if len(h) == k - 1)
+            self.seen[k] = now
+        last = collections.Counter(w for _, w in self.seen[2])
+        self.unigram = {w: n / sum(last.values()) for w, n in last.items()}
+
+    def mixed(self, counts, h, w, rest):
+        total = sum(n for (g, _), n in counts.items() if g == h)
+        kinds = sum(1 for (g, _), n in counts.items() if g == h)
+        d = toxicity.DISCOUNT
+        return rest if not total else max(counts[h, w] - d, 0) / total + d * kinds / total * rest
+
+    def shared(self, h, w):
+        return self.mixed(self.seen[len(h) + 1], h, w, self.shared(h[1:], w)) if h else self.unigram.get(w, 0)
+
+    def __call__(self, c, h, w):
+        return self.mixed(self.own[c], h, w, self.shared(h[1:], w))
+
+
+def test_kneser_ney_against_dictionaries():
+    texts = ["lo lo low lowland lox", "lot lot la lowlands", "lowland é", "you low lout", "lout you lowlout"]
+    labels = [0, 0, 0, 1, 1]
+    plain = PlainKneserNey(texts, labels)
+    letters = sorted(plain.unigram)
+    for c in (0, 1):
+        for h in {h for h, _ in plain.own[c]}:
+            assert sum(plain(c, h, w) for w in letters) == pytest.approx(1)
+    keys = {}
+    for c in (0, 1):
+        u, n, _ = toxicity.count_sequences(pa.array([t for t, y in zip(texts, labels, strict=True) if y == c]))
+        keys[c] = (u, n)
+    u = np.union1d(keys[0][0], keys[1][0])
+    counts = np.zeros((2, len(u)), np.int64)
+    for c in (0, 1):
+        counts[c, np.searchsorted(u, keys[c][0])] = keys[c][1]
+    grams, histories = toxicity.kneser_ney(toxicity._tail(u, 7), (u >> np.uint64(56)).astype(int), counts[1], counts[0])
+    new = [*texts, "lowly lo", "lol you out", "", "land"]
+    shares = (0.1, 1e-3)
+    chunk = next(T.chunks(pa.array(new)))
+    got = toxicity.evidence(chunk.data, chunk.offsets, grams, histories, shares)
+    for t, row in zip(new, got, strict=True):
+        words = t.split()
+        for a, x in zip(shares, row, strict=True):
+            gain = 0.0
+            for w in words:
+                toxic, ordinary = (sum(np.log(plain.mixed(plain.own[c], h, z, plain.shared(h[1:], z) or 1e-9)) for h, z in _sequences(w)) for c in (1, 0))
+                gain += np.log((1 - a) + a * np.exp(toxic - ordinary)) - np.log(1 - a)
+            assert x == pytest.approx(gain / max(len(words), 1), rel=1e-4, abs=1e-7)
+
+
+def test_equal_classes_have_no_evidence():
+    c = next(T.chunks(pa.array(["lo lo low lox", "lot lot la"])))
     key, length, long, counts = toxicity.letters(c.data, c.offsets)
-    assert counts.tolist() == [4, 3] and long.sum() == sum(len(w) + 1 for t in texts for w in t.split())
+    assert counts.tolist() == [4, 3] and long.sum() == sum(len(w) + 1 for w in "lo lo low lox lot lot la".split())
     assert length.min() == 2 and length.max() <= toxicity.ORDER
     u, n = np.unique(toxicity._tag(key, length), return_counts=True)
     grams, histories = toxicity.kneser_ney(toxicity._tail(u, 7), (u >> np.uint64(56)).astype(int), n, n)
-    assert np.nanmax(np.abs(grams.find(u[(u >> np.uint64(56)) > 2]))) == 0
-    assert toxicity.evidence(c.data, c.offsets, grams, histories).tolist() == [[0.0] * (1 + len(toxicity.LEVELS))] * 2
+    assert np.abs(grams.find(u)).max() == 0
+    x = toxicity.evidence(c.data, c.offsets, grams, histories, (0.5,))
+    assert x.ravel().tolist() == pytest.approx([np.log(2)] * 2)
+    assert toxicity.probability(np.zeros(1), np.array([-1.0, 1.0]))[0] < 0.5
+
+
+def test_share_of_toxic_words_is_that_of_least_loss():
+    rng = np.random.default_rng(3)
+    y = np.arange(200) % 2
+    x = rng.uniform(0.4, 0.6, (200, len(toxicity.SHARES)))
+    x[:, 2] += y
+    share, w = toxicity.best_share(x, y.astype(float))
+    assert share == toxicity.SHARES[2] and ((toxicity.probability(x[:, 2], w) > 0.5) == (y == 1)).all()
 
 
 def test_classifier_learns_and_handles_empty():

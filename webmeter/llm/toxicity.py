@@ -1,22 +1,26 @@
 """Toxicity: class-conditional Kneser-Ney models over the letters of words.
 
 Two interpolated Kneser-Ney models of order ``ORDER`` (bytes within a word and
-its borders), one of toxic and one of ordinary text, share their backoff counts
-below order 3, so that a letter sequence rare in both is as likely under
-either.  A text's evidence is the difference of the two log-likelihoods divided
-by its number of words, together with what single words exceed some levels by,
-divided alike; a logistic
-curve fitted on labelled rows that the models have not seen turns it into a
-score.
+its borders), one of toxic and one of ordinary text, differ in the counts of
+their longest sequences only; every shorter order is shared, counted over both,
+so a letter sequence rare in both is as likely under either.
+
+A toxic text is a text of which a small share of the words comes from the toxic
+model and the others from the ordinary one.  Its evidence is the difference of
+the text's log-likelihoods under that mixture and under the ordinary model,
+divided by the number of words.  A logistic curve of its logarithm, fitted on
+labelled rows that the models have not seen, gives the score; the share is that
+of ``SHARES`` with which the curve fits those rows best.
 
 In backoff form the difference for a letter after a history is a stored value
-if the sequence was seen, else the history's difference of backoff weights plus
-that of the next shorter sequence, so scoring is a few table look-ups a byte.
+if the sequence was seen, else the history's difference of backoff weights (the
+shared rest cancels out), so scoring is two table look-ups a byte.
 
 Defined cases: a null or empty text has no evidence and gets the score of a
 text without any; rows whose label is neither 0 nor 1 are not learned from;
 without both labels every score is the share of label 1 (0 if no label at
-all); repeated rows score alike; other columns are ignored.
+all); without both labels among the rows for the curve a fixed curve is taken;
+repeated rows score alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +43,10 @@ DISCOUNT = 0.95
 MAX_TOXIC, MAX_ORDINARY = 6000, 12_000
 #: One row in so many is kept from the models, for the curve.
 HELD = 4
-#: A word's difference (nats) counts with what exceeds each of these levels.
-LEVELS = (0.0, 0.5, 1.0, 2.0, 3.0, 4.0, 6.0)
+#: Shares of toxic words in a toxic text that are tried.
+SHARES = (1e-1, 1e-2, 1e-3, 1e-4, 1e-5)
+#: Added to the evidence before its logarithm is taken.
+FLOOR = 1e-5
 #: Bytes of text at once: every letter takes some dozen words of memory.
 STEP = 1 << 16
 U = np.uint64
@@ -49,6 +55,7 @@ U = np.uint64
 class Model(NamedTuple):
     grams: Table
     histories: Table
+    share: float
     curve: np.ndarray
     constant: float | None = None
 
@@ -87,78 +94,69 @@ def letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (key << U(8)) | flat, length, long, counts
 
 
+def _by_history(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Histories of sorted sequences, where each sequence's is, and their sums and numbers of counts."""
+    history, first, where = np.unique(key >> U(8), return_index=True, return_inverse=True)
+    return history, where, np.add.reduceat(n, first, 0), np.add.reduceat((n > 0).astype(float), first, 0)
+
+
 def kneser_ney(keys: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[Table, Table]:
-    """Tables of log-likelihood differences from the counts of full-length sequences in each class."""
-    count = np.stack([toxic, plain], 1).astype(float)
-    levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    above: tuple[np.ndarray, np.ndarray] = (np.empty(0, U), np.empty((0, 2)))
+    """Tables of log-likelihood differences from the counts of full-length sequences in each class.
+
+    ``keys`` are distinct for each of ``lengths``.
+    """
+    # shared orders: how many different letters stand before a sequence, in either class
+    shared: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    longer = np.empty(0, U)
     for k in range(ORDER, 1, -1):
-        own = lengths == k
-        key = np.concatenate([keys[own], _tail(above[0], k)])
-        n = np.concatenate([count[own], (above[1] > 0).astype(float)])
-        uniq, where = np.unique(key, return_inverse=True)
-        total = np.zeros((len(uniq), 2))
-        np.add.at(total, where, n)
-        levels[k] = above = (uniq, total)
-
-    def spread(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        hist, where = np.unique(key >> U(8), return_inverse=True)
-        c, t = np.zeros((len(hist), n.shape[1])), np.zeros((len(hist), n.shape[1]))
-        np.add.at(c, where, n)
-        np.add.at(t, where, (n > 0).astype(float))
-        return hist, where, c, t
-
-    key, n = levels[2]
-    pooled = n.sum(1, keepdims=True)
-    hist, where, c, t = spread(key, pooled)
-    last, which = np.unique(key & U(255), return_inverse=True)
-    uni = np.zeros(len(last))
-    np.add.at(uni, which, 1.0)
-    low = np.repeat((np.maximum(pooled - DISCOUNT, 0) / c[where] + DISCOUNT * t[where] / c[where] * (uni / uni.sum())[which][:, None]), 2, 1)
-    grams, values, hists, weights = [], [], [], []
-    for k in range(3, ORDER + 1):
-        lower_key = levels[k - 1][0]
-        key, n = levels[k]
-        hist, where, c, t = spread(key, n)
-        back = np.where(c > 0, DISCOUNT * t / np.maximum(c, 1), 1.0)
-        seen = np.where(c[where] > 0, np.maximum(n - DISCOUNT, 0) / np.maximum(c[where], 1), 0.0)
-        p = seen + back[where] * low[np.searchsorted(lower_key, _tail(key, k - 1))]
+        longer, n = np.unique(np.concatenate([keys[lengths == k], _tail(longer, k)]), return_counts=True)
+        shared[k] = longer, n.astype(float)
+    last, n = np.unique(shared[2][0] & U(255), return_counts=True)
+    lower = {1: (last, n / n.sum())}
+    for k in range(2, ORDER):
+        key, n = shared[k]
+        _, where, total, kinds = _by_history(key, n)
+        below, p = lower[k - 1]
+        lower[k] = key, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[where] * p[np.searchsorted(below, _tail(key, k - 1))]) / total[where]
+    grams, values, histories, weights = [], [], [], []
+    for k in range(2, ORDER + 1):
+        own = np.flatnonzero(lengths == k)
+        if not len(own):
+            continue
+        own = own[np.argsort(keys[own])]
+        key, n = keys[own], np.stack([toxic[own], plain[own]], 1).astype(float)
+        history, where, total, kinds = _by_history(key, n)
+        # a class without the history has only the shared orders
+        back = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+        below, q = lower[k - 1]
+        p = np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1)[where] + back[where] * q[np.searchsorted(below, _tail(key, k - 1))][:, None]
         grams.append(_tag(key, k))
         values.append(np.log(p[:, 0]) - np.log(p[:, 1]))
-        hists.append(_tag(hist, k))
+        histories.append(_tag(history, k))
         weights.append(np.log(back[:, 0]) - np.log(back[:, 1]))
-        low = p
-    return table(np.concatenate(grams), np.concatenate(values).astype(np.float32)), table(np.concatenate(hists), np.concatenate(weights).astype(np.float32))
+    if not grams:
+        return table(np.empty(0, U), np.empty(0, np.float32)), table(np.empty(0, U), np.empty(0, np.float32))
+    return table(np.concatenate(grams), np.concatenate(values).astype(np.float32)), table(np.concatenate(histories), np.concatenate(weights).astype(np.float32))
 
 
-def evidence(data: np.ndarray, offsets: np.ndarray, grams: Table, histories: Table) -> np.ndarray:
-    """Columns for each text: mean difference a word, then the means of what exceeds each level."""
+def evidence(data: np.ndarray, offsets: np.ndarray, grams: Table, histories: Table, shares: tuple[float, ...]) -> np.ndarray:
+    """A column for each share: gain in log-likelihood a word, less that of a word that is toxic in no way."""
     key, length, long, counts = letters(data, offsets)
     if not len(key):
-        return np.zeros((len(counts), 1 + len(LEVELS)))
+        return np.zeros((len(counts), len(shares)))
     value = grams.find(_tag(key, length))
-    value[length < 3] = 0
-    left = np.flatnonzero(np.isnan(value))
-    value[left] = 0
-    key, length = key[left], length[left]
-    while len(left):
-        back = histories.find(_tag(key >> U(8), length))
-        value[left] += np.nan_to_num(back)
-        length = length - 1
-        key = _tail(key, length)
-        go = length >= 3
-        left, key, length = left[go], key[go], length[go]
-        got = grams.find(_tag(key, length))
-        hit = ~np.isnan(got)
-        value[left[hit]] += got[hit]
-        left, key, length = left[~hit], key[~hit], length[~hit]
+    new = np.flatnonzero(np.isnan(value))
+    value[new] = np.nan_to_num(histories.find(_tag(key[new] >> U(8), length[new])))
     word = np.add.reduceat(value.astype(float), np.cumsum(long) - long)
-    words = np.maximum(counts, 1)
-    return np.stack([T.sums(word, counts) / words, *(T.sums(np.maximum(word - level, 0), counts) / words for level in LEVELS)], 1)
+    return np.stack([T.sums(np.logaddexp(0, word + np.log(a / (1 - a))), counts) / np.maximum(counts, 1) for a in shares], 1)
 
 
 def _expand(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(x)), np.clip(x[:, 0], -3, 3), np.log1p(50 * np.maximum(x[:, 1:], 0))])
+    return np.column_stack([np.ones(len(x)), np.log(x + FLOOR) - np.log(FLOOR)])
+
+
+def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(_expand(x) @ w, -30, 30)))
 
 
 def curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> np.ndarray:
@@ -166,17 +164,27 @@ def curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -
     a = _expand(x)
     w = np.zeros(a.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        p = probability(x, w)
         h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         w = w + np.linalg.solve(h, a.T @ (y - p) - ridge * w)
     return w
 
 
+def best_share(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+    """The share, a column of ``x`` each, whose curve has the least logarithmic loss, and that curve."""
+    fitted = []
+    for k, share in enumerate(SHARES):
+        w = curve(x[:, k], y)
+        p = probability(x[:, k], w)
+        fitted.append((-np.log(np.where(y == 1, p, 1 - p)).sum(), share, w))
+    _, share, w = min(fitted, key=lambda f: f[0])
+    return share, w
+
+
 def score_chunk(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
     if model.constant is not None:
         return np.full(len(offsets) - 1, model.constant)
-    x = evidence(data, offsets, model.grams, model.histories)
-    return 1 / (1 + np.exp(-np.clip(_expand(x) @ model.curve, -30, 30)))
+    return probability(evidence(data, offsets, model.grams, model.histories, (model.share,))[:, 0], model.curve)
 
 
 def count_sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     chosen, sizes = sample(labels, label, key, {1: max_toxic, 0: max_ordinary})
     if len(sizes) < 2:
         none = table(np.empty(0, U), np.empty(0, np.float32))
-        return Model(none, none, np.zeros(2 + len(LEVELS)), float(1 in sizes))
+        return Model(none, none, SHARES[0], np.zeros(2), float(1 in sizes))
     usable = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key).select("_text", "_label", (F.pmod(F.shiftright("_order", 20), F.lit(HELD)) == 0).alias("_held"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,15 +225,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.concatenate([evidence(c.data, c.offsets, *shared.value) for c in T.chunks(b.column(0), STEP)]) if b.num_rows else np.zeros((0, 1 + len(LEVELS)))
+            x = np.concatenate([evidence(c.data, c.offsets, *shared.value, SHARES) for c in T.chunks(b.column(0), STEP)]) if b.num_rows else np.zeros((0, len(SHARES)))
             yield pa.RecordBatch.from_pydict({"y": b.column(1), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
     held = usable.where("_held").select("_text", "_label").mapInArrow(measure, "y int, x binary").toArrow()
     y = held["y"].to_numpy().astype(float)
     if len(set(y)) < 2:
-        # no curve can be fitted: even odds where the evidence is nought
-        return Model(grams, histories, np.array([0.0, 4.0, *([0.0] * len(LEVELS))]))
-    return Model(grams, histories, curve(np.stack([np.frombuffer(r.as_py()) for r in held["x"]]), y))
+        # no curve can be fitted: even odds where a word in a hundred is thrice as likely toxic
+        middle = 0.01 * np.log1p(3 * SHARES[-1])
+        return Model(grams, histories, SHARES[-1], np.array([-1.0, 1.0 / _expand(np.array([middle]))[0, 1]]))
+    return Model(grams, histories, *best_share(np.stack([np.frombuffer(r.as_py()) for r in held["x"]]), y))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
