@@ -514,3 +514,24 @@ def test_most_frequent_words_are_bounded(spark):
         low = min(r.c for r in rows)
         assert counts.where(f"c > {low}").count() <= len(rows) == counts.where(f"c >= {low}").count()
     assert maxent.most_frequent(counts.where("false"), 5).count() == 0
+
+
+def test_lm_does_not_depend_on_the_split(spark):
+    """Weights and scores are the same however the rows are dealt, over several tasks and rounds."""
+    docs = spark.read.parquet(f"{compare.DATA}/sf0.001/documents.parquet").limit(80).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    docs = docs.unionAll(spark.createDataFrame([(None, None), (None, "a b"), (7, ""), (7, "")], "_id long, _text string"))
+    blank = maxent.start(maxent.count_words(docs))
+    some = [maxent.train(docs.repartition(n), blank, task=blank.total // 5, rounds=2) for n in (1, 5)]
+    for name in ("class_rows", "word_rows"):
+        a, b = (getattr(m, name) for m in some)
+        assert np.abs(a).max() > 0.05 and np.array_equal(a, b)
+
+
+def test_lm_rounds_go_on_from_the_weights_before(spark):
+    """More rounds never lose what the rounds before learned: rows without new updates keep their weights."""
+    docs = spark.createDataFrame([(1, "a b c a b c a b c")], "_id long, _text string")
+    blank = maxent.start(maxent.count_words(docs))
+    once = maxent.train(docs, blank, rounds=1)
+    # one row: two of the three rounds are empty
+    thrice = maxent.train(docs, blank, rounds=3)
+    assert np.abs(once.class_rows).max() > 0 and np.array_equal(once.class_rows, thrice.class_rows) and np.array_equal(once.word_rows, thrice.word_rows)

@@ -20,8 +20,10 @@ only the class of repeats, so the sum over all words is at most 1.
 
 Counts of all words come from one pass over all training texts; weights are
 trained by stochastic gradient steps (Adagrad) in tasks of about ``TASK``
-tokens over every training text, and averaged row by row with the number of
-updates as weight.  Texts are scored in sparse numpy batches.  The counts of the
+tokens over every training text, in ``ROUNDS`` rounds, and averaged row by row
+with the number of updates as weight; a round starts from the weights of the one
+before.  Which round and task reads a row, and when, is a matter of its hash, so
+scores do not depend on how the rows are dealt to partitions.  Texts are scored in sparse numpy batches.  The counts of the
 ``HEAD`` most frequent words are broadcast (a fixed bound); those of other
 words reach their texts through one join on the word's hash.
 
@@ -59,10 +61,12 @@ BITS = 16
 BATCH = 8192
 RATE = 0.15
 TASK = 4_000_000
+#: Passes over a part of the training texts each; all but the first start from the averaged weights.
+ROUNDS = 3
 ROWS = 1024
 #: Tasks whose weights are averaged at once.
 FAN = 64
-BLOCK_ROW = "block int, part int, weights binary, updates binary"
+BLOCK_ROW = "block int, part int, weights binary, updates binary, squares binary"
 U = np.uint64
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 BEGIN_CONTEXT = CONTEXT + OPEN
@@ -181,13 +185,18 @@ def _softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> n
     return z
 
 
+def first_squares() -> list[np.ndarray]:
+    """Sums of squared gradients before any update."""
+    return [np.full(1 << BITS, 1e-3, np.float32) for _ in range(2)]
+
+
 class Trainer:
     """Adagrad over minibatches, with the number of updates of each row."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, squares: list[np.ndarray] | None = None):
         self.model = model
         self.weights = [model.class_rows.copy(), model.word_rows.copy()]
-        self.squares = [np.full(1 << BITS, 1e-3, np.float32) for _ in range(2)]
+        self.squares = [s.copy() for s in squares] if squares else first_squares()
         self.updates = [np.zeros(1 << BITS, np.float32) for _ in range(2)]
 
     def _step(self, which: int, p: np.ndarray, target: np.ndarray, rows: list[np.ndarray]) -> None:
@@ -313,21 +322,37 @@ def start(counts: DataFrame) -> Model:
     return blank(head["word"].to_numpy().view(U), head["kind"].to_numpy(), lean, c, int(kt.sum()), int(kd.sum()), kt, kd)
 
 
-def _block(k: int, part: int, weights: np.ndarray, updates: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "part": pa.array([part], pa.int32()), "weights": [weights.astype(np.float16).tobytes()], "updates": [updates.astype(np.float32).tobytes()]})
+def _block(k: int, part: int, weights: np.ndarray, updates: np.ndarray, squares: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "part": pa.array([part], pa.int32()), "weights": [weights.astype(np.float16).tobytes()], "updates": [updates.astype(np.float32).tobytes()], "squares": [squares.astype(np.float32).tobytes()]})
 
 
-def train(docs: DataFrame, model: Model, task: int = TASK) -> Model:
-    """One pass of gradient steps over the texts ``_text``, in tasks of about ``task`` tokens, averaged."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    blocks = (1 << BITS) // ROWS
+def train(docs: DataFrame, model: Model, task: int = TASK, rounds: int = ROUNDS) -> Model:
+    """Gradient steps over the texts ``_text`` of the rows ``_id``.
 
-    tasks = max(1, math.ceil(model.total / task))
+    Every text is read in one of ``rounds`` rounds, by the hash of its row; a
+    round runs in tasks of about ``task`` tokens and goes on from the averaged
+    weights and squared gradients of the round before.  Rows are dealt to tasks
+    and put in order by their hashes, so the model does not depend on how the
+    input is split.  Rows equal in id and text go to one task, a batch at a time.
+    """
+    tasks = max(1, math.ceil(model.total / task / rounds))
+    row = F.xxhash64("_id", "_text")
+    squares = first_squares()
+    for r in range(rounds):
+        now = docs.withColumn("_row", row).where(F.pmod("_row", F.lit(rounds)) == r)
+        dealt = now.repartition(tasks, "_row").sortWithinPartitions("_row").select("_text").coalesce(tasks)
+        model, squares = _round(dealt, model, squares, tasks)
+    return model
+
+
+def _round(docs: DataFrame, model: Model, squares: list[np.ndarray], tasks: int) -> tuple[Model, list[np.ndarray]]:
+    """One task a partition from the given weights, averaged; rows without an update stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, squares))
+    blocks = (1 << BITS) // ROWS
     parts = max(1, math.ceil(tasks / FAN))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(shared.value)
+        trainer = Trainer(*shared.value)
         some = False
         for b in batches:
             for c in T.chunks(b.column(0)):
@@ -337,30 +362,36 @@ def train(docs: DataFrame, model: Model, task: int = TASK) -> Model:
         for which in range(2) if some else ():
             for k in range(blocks):
                 own = slice(k * ROWS, (k + 1) * ROWS)
-                yield _block(which * blocks + k, part, trainer.weights[which][own], trainer.updates[which][own])
+                if trainer.updates[which][own].any():
+                    yield _block(which * blocks + k, part, trainer.weights[which][own], trainer.updates[which][own], trainer.squares[which][own])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], list[np.ndarray]] = {}
         for b in batches:
-            for k, part, w, n in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                n = np.frombuffer(n, np.float32)
-                w = np.frombuffer(w, np.float16).astype(np.float32).reshape(ROWS, WIDTH) * n[:, None]
+            for k, part, w, n, q in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                # sums of short mantissas in double precision: the order of the blocks hardly matters
+                n = np.frombuffer(n, np.float32).astype(np.float64)
+                w = np.frombuffer(w, np.float16).astype(np.float64).reshape(ROWS, WIDTH) * n[:, None]
+                q = np.frombuffer(q, np.float32) * n
                 if (k, part) in total:
-                    total[k, part][0] += w
-                    total[k, part][1] += n
+                    for held, new in zip(total[k, part], (w, n, q), strict=True):
+                        held += new
                 else:
-                    total[k, part] = [w, n.astype(np.float64)]
-        for (k, part), (w, n) in total.items():
-            yield _block(k, part, w / np.maximum(n, 1)[:, None], n)
+                    total[k, part] = [w, n, q]
+        for (k, part), (w, n, q) in total.items():
+            yield _block(k, part, w / np.maximum(n, 1)[:, None], n, q / np.maximum(n, 1))
 
-    sent = docs.select("_text").coalesce(tasks).mapInArrow(learn, BLOCK_ROW)
+    sent = docs.mapInArrow(learn, BLOCK_ROW)
     # first among at most FAN tasks each, then among the parts: no task reads the blocks of all tasks
     some = sent.repartition("block", "part").mapInArrow(average, BLOCK_ROW).withColumn("part", F.lit(0))
-    rows = [np.zeros((1 << BITS, WIDTH), np.float32) for _ in range(2)]
-    for r in some.repartition("block").mapInArrow(average, BLOCK_ROW).select("block", "weights").collect():
+    rows, next_squares = [model.class_rows.copy(), model.word_rows.copy()], [q.copy() for q in squares]
+    for r in some.repartition("block").mapInArrow(average, BLOCK_ROW).collect():
         which, k = divmod(r.block, blocks)
-        rows[which][k * ROWS : (k + 1) * ROWS] = np.frombuffer(r.weights, np.float16).reshape(ROWS, WIDTH)
-    return model._replace(class_rows=rows[0], word_rows=rows[1])
+        at = k * ROWS + np.flatnonzero(np.frombuffer(r.updates, np.float32))
+        rows[which][at] = np.frombuffer(r.weights, np.float16).reshape(ROWS, WIDTH)[at - k * ROWS]
+        next_squares[which][at] = np.frombuffer(r.squares, np.float32)[at - k * ROWS]
+    shared.unpersist()
+    return model._replace(class_rows=rows[0], word_rows=rows[1]), next_squares
 
 
 def score(docs: DataFrame, train_rows: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
