@@ -130,6 +130,16 @@ def test_strict_decoding_reads_the_first_value(spark):
     assert one(spark, [many], codec.decode_strict(c("v"))["ok"]) == [False]  # a repeated name
 
 
+def test_decoding_refuses_tails_and_keeps_nesting(spark):
+    """What follows the first value closes nothing before it, whatever its brackets; nested values and odd names are read."""
+    raws = ["{} ] [ {}", "{}],[{}", '{}},"b":{{}', '{},"b":{}', '{"id":"a"} null', "nullnull", ' {"id":"a","x":{"id":5,"y":[{}]}}\n', '{"a, b: STRING":1,"id":"c"}', '{"x`y":2,"ID":"d","type":{"z":"w"}}', '{"id":"}{\\"]["}']
+    got = codec.decode(c("v"))
+    assert one(spark, raws, got["ok"]) == [False] * 6 + [True, True, False, True]
+    assert one(spark, raws[6:], got["id"]) == ["a", "c", "d", '}{"][']
+    assert one(spark, raws, codec.decode_strict(c("v"))["ok"]) == [True] * 6 + [False] * 3 + [True]
+    assert one(spark, ["{} {}", " null\n", "null,"], codec.decode_strict(c("v"))["ok"]) == [True] * 3
+
+
 def test_dead_letter_raw(spark):
     cut = one(spark, ["x" * 8192, "x" * 100_001, "é" * 5000, None], validation.dead_letter_raw(c("v")))
     assert cut[0] == "x" * 8192 and cut[1] == "x" * 8192 + "...(truncated)" and cut[2] == "é" * 4096 + "...(truncated)" and cut[3] is None

@@ -28,6 +28,15 @@ def test_decoders_return_oversized_bodies(spark, name):
     assert long == ({(True, None, None)} if name == "decode_json" else {(False,)})
 
 
+@pytest.mark.parametrize("name", ["dead_letters_by_reason"])
+def test_raw_messages_are_decoded_once(spark, name):
+    """The text is parsed by one expression of the plan, below all filters, in as many tasks as there are cores and more."""
+    spark.catalog.clearCache()
+    plan = catalog.QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1 and len(plan) < 100_000
+    assert plan.count("RepartitionByExpression") == 1
+
+
 @pytest.mark.parametrize("name", ["minute_counters", "dead_letters", "stream_minute_counters", "rate_by_code", "session_summary"])
 def test_other_time_zone(spark, name):
     """The session's time zone neither matters nor changes."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import RAW_FIELDS, TIME_FIELDS
@@ -14,8 +14,8 @@ _STRING = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f
 RFC3339 = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
 #: One JSON object, or null, from the first to the last character; nested values are checked by the parser.
 _ROOT = r"(?s)^[ \t\r\n]*(\{.*\}|null)[ \t\r\n]*$"
-
-
+#: Type of a variant that is an object of strings and nulls, or null.
+_FLAT = r"^(?:VOID|OBJECT<(?:(?:\w+|`(?:[^`]|``)*+`): (?:STRING|VOID)(?:, (?!>)|(?=>)))*>)$"
 #: A flat object of strings and nulls, or null, at the start of a text; what follows is left alone.
 _PAIR = rf"{_STRING}[ \t\r\n]*+:[ \t\r\n]*+(?:{_STRING}|null)[ \t\r\n]*+"
 _FIRST = rf"(?s)^[ \t\r\n]*+(?:null|\{{[ \t\r\n]*+(?:{_PAIR}(?:,[ \t\r\n]*+{_PAIR})*+)?\}})"
@@ -26,9 +26,62 @@ def _folded(name: Column) -> Column:
     return F.lower(name)
 
 
-def _values(names: Column, values: Column, field: str) -> Column:
-    """Values of a field, in their order in the text."""
-    return F.transform(F.filter(names, lambda k: _folded(k) == field), lambda k: F.element_at(values, k))
+def _struct(**columns: Column) -> Column:
+    return F.struct(*(x.alias(n) for n, x in columns.items()))
+
+
+def _alone(raw: Column) -> Column:
+    """Whether nothing but white space follows the first value of a text (null: it is not JSON).
+
+    What closes an array early cannot close an object early, so only a text
+    without a tail can be an element of the one and a value of the other.
+    """
+    return F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))).isNotNull() & F.json_object_keys(F.concat(F.lit('{"":'), raw, F.lit("}"))).isNotNull()
+
+
+def _read(raw: Column, strict: bool = False) -> Column:
+    """An array of one struct: ``ok``, ``fields`` and the fields of a raw message.
+
+    Each step is a lambda over the struct of the step before, so that every
+    value is computed once a row, however often the next step refers to it.
+    """
+    first = lambda s: F.nullif(F.regexp_extract(s["raw"], _FIRST, 0), F.lit(""))
+    steps = F.transform(F.array(raw), lambda r: _struct(raw=r, alone=_alone(r)))
+    if strict:
+        steps = F.transform(steps, lambda s: _struct(raw=F.when(s["alone"], s["raw"]).otherwise(first(s)), alone=F.lit(True)))
+    steps = F.transform(steps, lambda s: _struct(raw=s["raw"], alone=s["alone"], v=F.try_parse_json(s["raw"])))
+    steps = F.transform(steps, lambda s: _struct(raw=s["raw"], alone=s["alone"], v=s["v"], root=F.schema_of_variant(s["v"])))
+
+    def opened(s: Column) -> Column:
+        flat = s["root"].rlike(_FLAT)
+        is_object = s["root"].startswith("OBJECT") & (flat if strict else F.lit(True))
+        some = lambda x: F.when(is_object, x)
+        return _struct(
+            shaped=s["alone"] & (is_object | (s["root"] == "VOID")),
+            flat=flat,
+            names=some(F.json_object_keys(s["raw"])),
+            texts=some(s["v"].try_cast("map<string,string>")),
+            values=F.when(~flat, some(s["v"].try_cast("map<string,variant>"))),
+        )
+
+    def picked(s: Column) -> Column:
+        known = F.filter(F.transform(s["names"], lambda k: _struct(field=_folded(k), name=k)), lambda k: k["field"].isin(RAW_FIELDS))
+        plain = lambda k: F.coalesce(F.schema_of_variant(F.element_at(s["values"], k["name"])).isin("STRING", "VOID"), F.lit(True))
+        texts = F.filter(F.transform(known, lambda k: _struct(field=k["field"], text=F.element_at(s["texts"], k["name"]))), lambda x: x["text"].isNotNull())
+        return _struct(good=s["shaped"] & (s["flat"] | s["names"].isNull() | F.forall(known, plain)), names=s["names"], texts=texts)
+
+    last = lambda s, f: F.try_element_at(F.filter(s["texts"], lambda x: x["field"] == f), F.lit(-1))["text"]
+    time = lambda text: F.when(text.rlike(RFC3339), F.try_to_timestamp(text))
+    timed = lambda s: reduce(and_, [s[f].isNull() | s[f"_{f}"].isNotNull() for f in sorted(TIME_FIELDS)])
+    good = lambda s: s["good"] & ~F.coalesce(unknown_fields(s["names"]), F.lit(False)) if strict else s["good"]
+    steps = F.transform(F.transform(steps, opened), picked)
+    steps = F.transform(steps, lambda s: _struct(good=good(s), names=s["names"], **{f: last(s, f) for f in RAW_FIELDS}))
+    steps = F.transform(steps, lambda s: _struct(good=s["good"], names=s["names"], **{f: s[f] for f in RAW_FIELDS}, **{f"_{f}": time(s[f]) for f in sorted(TIME_FIELDS)}))
+    return F.transform(steps, lambda s: _struct(ok=F.coalesce(s["good"] & timed(s), F.lit(False)), fields=s["names"], **{f: s[f"_{f}" if f in TIME_FIELDS else f] for f in RAW_FIELDS}))
+
+
+def _columns(got: Column) -> dict[str, Column]:
+    return {n: got[n] for n in ("ok", "fields", *RAW_FIELDS)}
 
 
 def decode(raw: Column) -> dict[str, Column]:
@@ -39,28 +92,11 @@ def decode(raw: Column) -> dict[str, Column]:
     text after the value fails too.  Names of fields match in any case; of
     several the last one that is not null counts.  An object that repeats a
     name letter by letter is not ``ok``.
+
+    Each column holds the whole decoding; where several are used, ``decoded``
+    does it once a row.
     """
-    v = F.try_parse_json(raw)
-    root = F.schema_of_variant(v)
-    shaped = v.isNotNull() & raw.rlike(_ROOT) & (root.startswith("OBJECT") | (root == "VOID"))
-    bare = F.regexp_replace(raw, _STRING, "")
-    balanced = F.length(F.regexp_replace(bare, r"[^{\[]", "")) == F.length(F.regexp_replace(bare, r"[^}\]]", ""))
-    single = ~bare.rlike(r"(?s)\}[^,}\]]*\{")
-    names = F.when(root.startswith("OBJECT"), F.json_object_keys(raw))
-    values = v.try_cast("map<string,variant>")
-    out: dict[str, Column] = {}
-    good = [shaped, balanced, single]
-    for f in RAW_FIELDS:
-        own = _values(names, values, f)
-        good.append(own.isNull() | F.forall(own, lambda x: F.coalesce(F.schema_of_variant(x).isin("STRING", "VOID"), F.lit(True))))
-        texts = F.filter(F.transform(own, lambda x: x.try_cast("string")), lambda x: x.isNotNull())
-        text = F.get(texts, F.size(texts) - 1)
-        if f in TIME_FIELDS:
-            good.append(text.isNull() | (text.rlike(RFC3339) & F.try_to_timestamp(text).isNotNull()))
-            out[f] = F.when(text.rlike(RFC3339), F.try_to_timestamp(text))
-        else:
-            out[f] = text
-    return {"ok": F.coalesce(reduce(and_, good), F.lit(False)), "fields": names, **out}
+    return _columns(_read(raw)[0])
 
 
 def decode_strict(raw: Column) -> dict[str, Column]:
@@ -69,9 +105,12 @@ def decode_strict(raw: Column) -> dict[str, Column]:
     All known fields are strings, so a first value that can be accepted is a
     flat object of strings and nulls, or null.
     """
-    first = F.regexp_extract(raw, _FIRST, 0)
-    got = decode(F.when(first == "", F.lit(None)).otherwise(first))
-    return got | {"ok": got["ok"] & ~F.coalesce(unknown_fields(got["fields"]), F.lit(False))}
+    return _columns(_read(raw, strict=True)[0])
+
+
+def decoded(rows: DataFrame, raw: str, name: str, strict: bool = False) -> DataFrame:
+    """Adds a struct of what ``decode`` or ``decode_strict`` gives; no later filter or column repeats the work."""
+    return rows.select("*", F.explode(_read(F.col(raw), strict)).alias(name))
 
 
 def unknown_fields(fields: Column) -> Column:

@@ -50,14 +50,15 @@ def routed(messages: DataFrame, now: str) -> DataFrame:
     ``enriched`` (the value to publish; null for a rejected message).  A null
     value is not JSON.
     """
-    got = codec.decode(F.col("value"))
     c = F.col
     names = {f: "ts" if f == "timestamp" else f for f in RAW_FIELDS}
-    rows = messages.withColumn("_ok", got["ok"]).withColumns({n: got[f] for f, n in names.items()})
+    rows = codec.decoded(messages, "value", "_got")
+    rows = rows.withColumns({"_ok": c("_got.ok")} | {n: c(f"_got.{f}") for f, n in names.items()}).drop("_got")
     found = validation.problems(c("id"), c("site_id"), c("visitor_id"), c("type"), c("url"), c("ts"), c(now))
     rows = agents.classified(rows.withColumns({"_found": found, "_late": validation.lateness_us(c("ts"), c("received_at"), c(now))}))
     rows = rows.withColumn("_value", encoded(["id", "type", "site_id", "visitor_id", "url", "referrer", "user_agent", "ts", "ip", "received_at", "browser", "device", "is_bot"], ["ts", "received_at"]))
-    rows = rows.withColumn("reason", reason_of(c("_ok"), c("_found"), c("_late"), c("_value")))
+    # as a generator's output: a filter on the reason stays above it, and the encoding is not repeated for it
+    rows = rows.select("*", F.explode(F.array(reason_of(c("_ok"), c("_found"), c("_late"), c("_value")))).alias("reason"))
     told = (
         F.when(c("reason") == "invalid_json", F.array(F.lit("invalid JSON")))
         .when(c("reason") == "invalid_event", c("_found"))
