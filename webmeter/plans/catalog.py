@@ -257,17 +257,16 @@ def _bodies(spark: SparkSession, d: str) -> DataFrame:
         .when(m == 13, F.lit('{"id":5}'))
         .otherwise(c("g"))
     )
-    rows = _web(spark, d).where("copy = 0").withColumn("g", good)
+    rows = _spread(_web(spark, d).where("copy = 0")).withColumn("g", good)
     return rows.select("event_id", "id", "type", "ts", "received_at", body.alias("body"))
 
 
 def _status(spark: SparkSession, d: str) -> DataFrame:
     """Status of each request; publishing fails for some that are valid."""
-    got = codec.decode_strict(c("body"))
-    rows = _bodies(spark, d).select("event_id", "received_at", "body", got["ok"].alias("ok"), F.struct(*(got[f].alias(f) for f in ("id", "site_id", "visitor_id", "type", "url", "timestamp"))).alias("e"))
+    rows = codec.decoded(_bodies(spark, d).select("event_id", "received_at", "body"), "body", "e", strict=True)
     found = validation.problems(c("e.id"), c("e.site_id"), c("e.visitor_id"), c("e.type"), c("e.url"), c("e.timestamp"), c("received_at"))
     published = c("event_id") % 50 != 21
-    code = F.when(F.octet_length("body") > MAX_BODY_BYTES, 413).when(~c("ok"), 400).when(F.size(found) > 0, 422).when(~published, 503).otherwise(202)
+    code = F.when(F.octet_length("body") > MAX_BODY_BYTES, 413).when(~c("e.ok"), 400).when(F.size(found) > 0, 422).when(~published, 503).otherwise(202)
     return rows.select("event_id", code.alias("code"))
 
 
