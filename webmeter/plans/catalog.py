@@ -275,8 +275,8 @@ def collect_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decode_json(spark: SparkSession, d: str) -> DataFrame:
-    got = codec.decode(c("body"))
-    return _bodies(spark, d).select("event_id", got["ok"].alias("ok"), F.when(got["ok"], got["id"]).alias("id"), F.when(got["ok"], got["site_id"]).alias("site_id"))
+    rows = codec.decoded(_bodies(spark, d).select("event_id", "body"), "body", "e")
+    return rows.select("event_id", "e.ok", F.when(c("e.ok"), c("e.id")).alias("id"), F.when(c("e.ok"), c("e.site_id")).alias("site_id"))
 
 
 def decode_strict(spark: SparkSession, d: str) -> DataFrame:
