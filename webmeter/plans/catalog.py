@@ -280,7 +280,7 @@ def decode_json(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decode_strict(spark: SparkSession, d: str) -> DataFrame:
-    return _bodies(spark, d).select("event_id", codec.decode_strict(c("body"))["ok"].alias("ok"))
+    return codec.decoded(_bodies(spark, d).select("event_id", "body"), "body", "e", strict=True).select("event_id", "e.ok")
 
 
 def collect_stamp(spark: SparkSession, d: str) -> DataFrame:
