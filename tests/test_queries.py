@@ -28,7 +28,7 @@ def test_decoders_return_oversized_bodies(spark, name):
     assert long == ({(True, None, None)} if name == "decode_json" else {(False,)})
 
 
-@pytest.mark.parametrize("name", ["dead_letters_by_reason", "collect_status", "decode_json", "process_messages", "decode_strict"])
+@pytest.mark.parametrize("name", ["dead_letters_by_reason", "collect_status", "decode_json", "process_messages", "dead_letters", "decode_strict"])
 def test_raw_messages_are_decoded_once(spark, name):
     """The text is parsed by one expression of the plan, below all filters, in as many tasks as there are cores and more."""
     spark.catalog.clearCache()
