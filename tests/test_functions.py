@@ -137,6 +137,8 @@ def test_decoding_refuses_tails_and_keeps_nesting(spark):
     assert one(spark, raws, got["ok"]) == [False] * 6 + [True, True, False, True]
     assert one(spark, raws[6:], got["id"]) == ["a", "c", "d", '}{"][']
     assert one(spark, raws, codec.decode_strict(c("v"))["ok"]) == [True] * 6 + [False] * 3 + [True]
+    deep = '{"id":"a","x":' + "[" * 999 + "]" * 999 + "}"
+    assert one(spark, [deep, deep + " {}"], got["ok"]) == [True, False]
     assert one(spark, ["{} {}", " null\n", "null,"], codec.decode_strict(c("v"))["ok"]) == [True] * 3
 
 

@@ -14,6 +14,8 @@ _STRING = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f
 RFC3339 = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
 #: One JSON object, or null, from the first to the last character; nested values are checked by the parser.
 _ROOT = r"(?s)^[ \t\r\n]*(\{.*\}|null)[ \t\r\n]*$"
+#: Containers that the parser nests at most.
+_NESTED = 1000
 #: Type of a variant that is an object of strings and nulls, or null.
 _FLAT = r"^(?:VOID|OBJECT<(?:(?:\w+|`(?:[^`]|``)*+`): (?:STRING|VOID)(?:, (?!>)|(?=>)))*>)$"
 #: A flat object of strings and nulls, or null, at the start of a text; what follows is left alone.
@@ -39,6 +41,12 @@ def _alone(raw: Column) -> Column:
     return F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))).isNotNull() & F.json_object_keys(F.concat(F.lit('{"":'), raw, F.lit("}"))).isNotNull()
 
 
+def _closed(raw: Column) -> Column:
+    """The same by counting, for texts of so many brackets that one container more may pass the parser's limit."""
+    counted = F.transform(F.array(F.regexp_replace(raw, _STRING, "")), lambda b: (F.length(F.regexp_replace(b, r"[^{\[]", "")) == F.length(F.regexp_replace(b, r"[^}\]]", ""))) & ~b.rlike(r"(?s)\}[^,}\]]*\{"))[0]
+    return F.when(F.length(F.regexp_replace(raw, r"[^{\[]", "")) >= _NESTED, raw.rlike(_ROOT) & counted).otherwise(F.lit(False))
+
+
 def _read(raw: Column, strict: bool = False) -> Column:
     """An array of one struct: ``ok``, ``fields`` and the fields of a raw message.
 
@@ -50,7 +58,8 @@ def _read(raw: Column, strict: bool = False) -> Column:
     if strict:
         steps = F.transform(steps, lambda s: _struct(raw=F.when(s["alone"], s["raw"]).otherwise(first(s)), alone=F.lit(True)))
     steps = F.transform(steps, lambda s: _struct(raw=s["raw"], alone=s["alone"], v=F.try_parse_json(s["raw"])))
-    steps = F.transform(steps, lambda s: _struct(raw=s["raw"], alone=s["alone"], v=s["v"], root=F.schema_of_variant(s["v"])))
+    whole = lambda s: s["alone"] if strict else F.when(s["alone"], True).when(s["v"].isNotNull(), _closed(s["raw"]))
+    steps = F.transform(steps, lambda s: _struct(raw=s["raw"], alone=whole(s), v=s["v"], root=F.schema_of_variant(s["v"])))
 
     def opened(s: Column) -> Column:
         flat = s["root"].rlike(_FLAT)
